@@ -34,3 +34,17 @@ def every_salt(key: Column, hot: list, salts: int) -> Column:
     if not hot:
         return F.array(F.lit(0))
     return F.when(key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 32) -> DataFrame:
+    """Equi-join in which rows of ``left`` whose key is hot are spread over ``salts`` tasks.
+
+    ``right`` is repeated for hot keys only, of which there are at most a few hundred."""
+    key = F.xxhash64(*on)
+    hot = hot_values(left, key)
+    if not hot:
+        return left.join(right, on, how)
+    row = F.xxhash64(*[c for c, kind in left.dtypes if not kind.startswith("map")])
+    spread = left.withColumn("_salt", salt(key, hot, row, salts))
+    every = right.withColumn("_salt", F.explode(every_salt(key, hot, salts)))
+    return spread.join(every, [*on, "_salt"], how).drop("_salt")
