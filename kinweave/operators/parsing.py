@@ -122,7 +122,7 @@ def clean(cells: DataFrame, spark: SparkSession) -> DataFrame:
     valid = cells.join(errors(cells, spark).select("row"), "row", "left_anti")
     typed = []
     for pos, name, kind, _, _ in RULES:
-        cell = F.col("cells")[pos]
+        cell = F.get("cells", F.lit(pos))
         if kind == "evalue":
             cell = F.when(cell.rlike(_EXPONENT), F.concat(F.lit("1"), cell)).otherwise(cell)
         to = {"id": None, "digits": "bigint"}.get(kind, "double")

@@ -87,7 +87,7 @@ def reciprocal_global(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _edges(df: DataFrame) -> DataFrame:
-    return df.select("seq_a", "seq_b", "taxon_a", "taxon_b", "unnormalized_score", "normalized_score")
+    return df.select("seq_a", "seq_b", "taxon_a", "taxon_b", *[F.round(c, 6).alias(c) for c in ("unnormalized_score", "normalized_score")])
 
 
 def orthologs(spark: SparkSession, d: str) -> DataFrame:
@@ -118,7 +118,7 @@ def reciprocal_strict(spark: SparkSession, d: str) -> DataFrame:
 
 def raw_dedupe(spark: SparkSession, d: str) -> DataFrame:
     raw = pairs.orthologs(_sim(spark, d), CFG).select("seq_a", "seq_b", "unnormalized_score")
-    return pairs.raw_dedupe(raw.unionByName(raw), ["seq_a", "seq_b"], "unnormalized_score")
+    return pairs.raw_dedupe(raw.unionByName(raw), ["seq_a", "seq_b"], "unnormalized_score").withColumn("unnormalized_score", F.round("unnormalized_score", 6))
 
 
 QUERIES = {
@@ -160,7 +160,7 @@ co AS (SELECT *, raw / nullif(avg(raw) OVER (PARTITION BY least(ta, tb), greates
 
 _ORDER = f"WITH {HITS_SQL}, {_relations(_OK)} "
 _REC = f"WITH {_RECORDS} "
-_EDGE = "a seq_a, b seq_b, ta taxon_a, tb taxon_b, raw unnormalized_score, norm normalized_score"
+_EDGE = "a seq_a, b seq_b, ta taxon_a, tb taxon_b, round(raw, 6) unnormalized_score, round(norm, 6) normalized_score"
 _SIMCOLS = "q query_id, s subject_id, qt query_taxon, st subject_taxon, m evalue_mant, e evalue_exp, pi percent_identity, pm percent_match"
 _HITS = _CELLS + r""", h AS (SELECT line_id, trim(v[1], E' \t\r') q, trim(v[2], E' \t\r') s, v[3]::DOUBLE pident, v[4]::BIGINT len, v[7]::BIGINT qs, v[8]::BIGINT qe, v[9]::BIGINT ss, v[10]::BIGINT se,
 (CASE WHEN regexp_matches(v[11], '^[eE]') THEN '1' || v[11] ELSE v[11] END)::DOUBLE ev, v[12]::DOUBLE bits FROM j WHERE ok), h2 AS (SELECT *, split(format('{:.3e}', ev * (1 + 1e-12)), 'e') ev2 FROM h), h3 AS (SELECT *, floor(ev2[1]::DOUBLE*100 + 0.5)/100 m, ev2[2]::INT e FROM h2)
@@ -201,5 +201,5 @@ SELECT DISTINCT least(x.q, x.s) seq_a, greatest(x.q, x.s) seq_b FROM b x JOIN b
     + "SELECT a seq_a, b seq_b, t edge_type, trunc(norm::FLOAT::DOUBLE*1000 + 0.5)/1000 score FROM (SELECT *, 'ortholog' t FROM ortho UNION ALL SELECT a, b, ta, tb, raw, norm, 'inparalog' FROM para UNION ALL SELECT *, 'coortholog' FROM co)",
     "reciprocal_strict": f"""WITH {HITS_SQL}, acc AS (SELECT * FROM sim WHERE qt <> st AND {_OK}), k AS (SELECT q, s, st, rank() OVER (PARTITION BY q, st ORDER BY e, m) k FROM acc),
 u AS (SELECT q, any_value(s) s FROM k WHERE k = 1 GROUP BY q, st HAVING count(*) = 1) SELECT x.q seq_a, x.s seq_b FROM u x JOIN u y ON x.q = y.s AND x.s = y.q WHERE x.q < x.s""",
-    "raw_dedupe": _ORDER + "SELECT a seq_a, b seq_b, raw unnormalized_score FROM ortho",
+    "raw_dedupe": _ORDER + "SELECT a seq_a, b seq_b, round(raw, 6) unnormalized_score FROM ortho",
 }
