@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from kinweave.llm.common import spread
 
 #: Labelled documents used for fitting, at most.
-MAX_LABELLED = 20_000
+MAX_LABELLED = 10_000
+#: Times that each positive unit counts in the last fit; scores are corrected for it.
+POSITIVE_WEIGHT = 3
 #: Hashed terms, factors per term.
 TERMS, FACTORS = 1 << 14, 6
 #: A document from this score on is one to review.
@@ -119,8 +121,8 @@ def fit(documents: DataFrame, labels: DataFrame, iterations: int = 80) -> FMClas
     first = _worst_units(rows, rows, iterations // 2)
     second = _worst_units(rows, first, iterations // 2)
     third = _worst_units(rows, second, iterations // 2).select("label", "features").persist()
-    heavier = third.where("label = 1")
-    model = _machine(iterations).fit(third.unionByName(heavier).unionByName(heavier))
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("label") == 1, POSITIVE_WEIGHT).otherwise(1)))
+    model = _machine(iterations).fit(third.withColumn("_copy", copies).drop("_copy"))
     third.unpersist()
     rows.unpersist()
     return model
@@ -132,7 +134,8 @@ def scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(corpus, labels)
     if model is None:
         return corpus.select("doc_id", "source", F.lit(0.0).alias("score"))
-    judged = _likely(model, unit_features(spread(corpus))).groupBy("doc_id").agg(F.max("p").alias("score"))
+    p = F.max("p")
+    judged = _likely(model, unit_features(spread(corpus))).groupBy("doc_id").agg((p / (p + POSITIVE_WEIGHT * (1 - p))).alias("score"))
     return corpus.select("doc_id", "source").join(judged, "doc_id", "left").select("doc_id", "source", F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
