@@ -22,8 +22,6 @@ from kinweave.operators.skew import salted_join
 #: Mantissas below these count as zero: for best hits and scores, for in-paralogs, for co-orthologs.
 BEST_ZERO, KEEP_ZERO, CO_ZERO = 0.01, 0.001, 0.00001
 
-EVALUE = F.struct
-
 
 def last_records(records: DataFrame, order: list[str]) -> DataFrame:
     """One record per (query_id, subject_id), the last in ``order``; incomplete ones are dropped."""

@@ -47,34 +47,30 @@ def records(lines: DataFrame, row: str, line: str) -> DataFrame:
     return kept.where(F.col("text").rlike(r"\S") & ~F.col("text").startswith("#")).distinct()
 
 
-def split_fields(text: Column) -> tuple[Column, Column]:
-    """(cells, whether the quoting is well formed).
+def split_fields(rows: DataFrame) -> DataFrame:
+    """(row, cells, quoting) of (row, text); quoting: whether it is well formed.
 
     Pieces between quote characters alternate between outside and inside a quoted field. An
     empty outside piece between two inside ones is a doubled quote; every other outside piece
-    must have a tab next to the quotes it touches, with nothing but spaces between."""
-    pieces = F.split(text, '"', -1)
-    last = F.size(pieces) - 1
-    outer = lambda i: i % 2 == 0
+    must have a tab next to the quotes it touches, with nothing but spaces between. The first
+    and the last piece are treated apart, so that nothing outside a piece is needed for it and
+    the time grows with the length of a line, however Catalyst arranges the expressions."""
+    pieces = F.split("text", '"', -1)
+    inner = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0)))  # piece 0 of these is inside quotes
+    first, last = F.get(pieces, F.lit(0)), F.element_at(pieces, -1)
 
     def wrong(piece: Column, i: Column) -> Column:
-        at_start = (i > 0) & ~piece.rlike(r"^ *(\t|$)")
-        at_end = (i < last) & ~piece.rlike(r"(^|\t) *$")
-        amid = (i > 0) & (i < last) & (piece != "") & (F.instr(piece, "\t") == 0)
-        return outer(i) & (at_start | at_end | amid)
-
-    marks = F.transform(pieces, lambda p, i: wrong(p, i))
-    good = (last % 2 == 0) & ~F.exists(marks, lambda m: m)
-    joined = F.array_join(
-        F.transform(
-            pieces,
-            lambda p, i: F.when(~outer(i), F.translate(p, "\t", _INNER_TAB)).when((i > 0) & (i < last) & (p == ""), F.lit('"')).otherwise(p),
-        ),
-        "",
-    )
-    quoted = F.instr(text, '"') > 0
-    cells = F.split(F.when(quoted, joined).otherwise(text), "\t", -1)
-    return F.transform(cells, lambda c: F.translate(F.trim(c), _INNER_TAB, "\t")), ~quoted | good
+        return (i % 2 == 1) & (piece != "") & ~piece.rlike(r"(?s)^ *\t(.*\t)? *$")
+
+    def plain(piece: Column, i: Column) -> Column:
+        return F.when(i % 2 == 0, F.translate(piece, "\t", _INNER_TAB)).when(piece == "", F.lit('"')).otherwise(piece)
+
+    good = (F.size(pieces) % 2 == 1) & first.rlike(r"(^|\t) *$") & last.rlike(r"^ *(\t|$)") & ~F.exists(F.transform(inner, wrong), lambda w: w)
+    joined = F.concat(first, F.array_join(F.transform(inner, plain), ""), last)
+    quoted = F.instr("text", '"') > 0
+    cells = F.split(F.when(quoted, joined).otherwise(F.col("text")), "\t", -1)
+    cells = F.transform(cells, lambda c: F.translate(F.trim(c), _INNER_TAB, "\t"))
+    return rows.select("row", cells.alias("cells"), F.when(quoted, good).otherwise(True).alias("quoting"))
 
 
 def _fails(kind: Column, value: Column, low: Column, high: Column) -> Column:
@@ -92,8 +88,7 @@ def _fails(kind: Column, value: Column, low: Column, high: Column) -> Column:
 
 def parsed(lines: DataFrame, row: str = "line_id", line: str = "line") -> DataFrame:
     """(row, cells, quoting) of each record."""
-    cells, good = split_fields(F.col("text"))
-    return records(lines, row, line).select("row", cells.alias("cells"), good.alias("quoting"))
+    return split_fields(records(lines, row, line))
 
 
 def errors(cells: DataFrame, spark: SparkSession) -> DataFrame:
