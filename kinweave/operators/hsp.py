@@ -30,9 +30,9 @@ def with_genes(hits: DataFrame, genes: DataFrame, strict: bool = False) -> DataF
         return df.join(own, f"{side}_id", "left" if strict else "inner")
 
     joined = look_up(look_up(hits, "query"), "subject")
-    if strict:
+    if strict:  # no other filter here: it would drop the rows before they are judged
         known = F.col("query_length").isNotNull() & F.col("subject_length").isNotNull()
-        joined = joined.where(F.assert_true(known, F.lit("a hit names an unknown gene")).isNull())
+        return joined.where(F.assert_true(known, F.lit("a hit names an unknown gene")).isNull())
     return joined.where("query_length IS NOT NULL AND subject_length IS NOT NULL")
 
 
