@@ -13,6 +13,8 @@ smallest id, the smallest node it holds.
 from __future__ import annotations
 
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -22,8 +24,10 @@ from kinweave.config import FlowConfig
 from kinweave.operators import graph as gr
 from kinweave.session import checkpointed
 
-#: Components of at most so many nodes are one dense matrix in a task (2 MB at this size).
-SMALL = 500
+#: Components of at most so many nodes are one dense matrix in a task (18 MB at this size).
+SMALL = 1500
+#: Rounds of the distributed loop after which it looks for pieces that flow no longer joins.
+LOOK = 3
 
 
 def prune_column(v: np.ndarray, cfg: FlowConfig) -> np.ndarray:
@@ -125,17 +129,31 @@ def expand_pruned(m: DataFrame, cfg: FlowConfig) -> tuple[DataFrame, DataFrame]:
     return scaled, sums.select("src", ((F.col("most") - F.col("centre")) * F.col("k")).alias("chaos"))
 
 
-def _large(arcs: DataFrame, cfg: FlowConfig) -> DataFrame:
-    """(cluster_id, node) by the distributed loop."""
-    m = checkpointed(arcs.select(*gr.ARC, "weight"))
-    for _ in range(cfg.most_rounds):
+def _by_size(m: DataFrame, small: int, extra: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Arcs of components of at most ``small`` nodes, with their component; and the other arcs."""
+    parts = checkpointed(gr.components(m, extra))
+    sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    sized = checkpointed(m.join(parts.withColumnRenamed("node", "src"), "src").join(sizes, "component"))
+    return sized.where(F.col("size") <= small).drop("size"), sized.where(F.col("size") > small).select(*gr.ARC, "weight")
+
+
+def _large(m: DataFrame, cfg: FlowConfig, kind: str, small: int) -> DataFrame:
+    """(cluster_id, node) by the distributed loop. Pruning cuts large components into pieces; those
+    that have become small leave the loop for the kernel, which goes on from where they are."""
+    done = []
+    for i in range(1, cfg.most_rounds + 1):
         scaled, chaos = expand_pruned(m, cfg)
         both = checkpointed(scaled.join(chaos, "src"))
         worst = both.agg(F.max("chaos")).first()[0]
         m = checkpointed(gr.inflate(both.select(*gr.ARC, "weight"), cfg.inflation))
         if worst is None or worst < cfg.chaos:
             break
-    return interpret_graph(m)
+        if i % LOOK == 0 and small:
+            pieces, m = _by_size(m, small)
+            done.append(_small(pieces, cfg, kind))
+            if m.isEmpty():
+                break
+    return reduce(DataFrame.unionByName, [*done, interpret_graph(m)])
 
 
 def interpret_graph(m: DataFrame) -> DataFrame:
@@ -163,14 +181,11 @@ def interpret_graph(m: DataFrame) -> DataFrame:
 def flow_clusters(arcs: DataFrame, cfg: FlowConfig = FlowConfig(), extra: DataFrame | None = None, small: int = SMALL) -> DataFrame:
     """(cluster_id, node): a partition of the nodes of ``arcs`` (src, dst, weight)."""
     g = gr.drop_loops(gr.load(arcs.select("src", "dst", "weight")))
-    parts = gr.components(g, extra)
-    start = _start(g, extra).join(parts.withColumnRenamed("node", "src"), "src")
-    sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    start = checkpointed(start.join(sizes, "component"))
+    start = checkpointed(_start(g, extra))
+    little, large = _by_size(start, small, extra)
     kind = dict(start.dtypes)["src"]
-    done = _small(start.where(F.col("size") <= small).drop("size"), cfg, kind)
-    large = start.where(F.col("size") > small)
-    return done if large.isEmpty() else done.unionByName(_large(large, cfg))
+    done = _small(little, cfg, kind)
+    return done if large.isEmpty() else done.unionByName(_large(large, cfg, kind, small))
 
 
 def split_connected(clusters: DataFrame, g: DataFrame) -> DataFrame:

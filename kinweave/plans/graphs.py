@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.config import RunConfig
+from kinweave.config import FlowConfig, RunConfig
 from kinweave.functions import fasta
 from kinweave.operators import clusters as cl
 from kinweave.operators import flow, network, vectors
@@ -137,7 +137,7 @@ _add("split_connected", lambda s, d: flow.split_connected(part_clusters(s, d, "p
 
 def gene_groups(spark: SparkSession, d: str) -> DataFrame:
     """The whole run over the order hits: relations, clustering and numbered groups."""
-    return pipeline.from_similarities(relations._sim(spark, d), RunConfig(relations.CFG))["groups"]
+    return pipeline.from_similarities(relations._sim(spark, d), RunConfig(relations.CFG, FlowConfig(2.0, prune=1000, select=60, recover=70)))["groups"]
 
 
 _add("gene_groups", gene_groups)
