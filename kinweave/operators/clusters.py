@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.session import numbered_rows
+
 
 def _bare(c: DataFrame) -> DataFrame:
     return c.select("cluster_id", "node").dropna().distinct()
@@ -136,17 +138,42 @@ def project(c: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def numbered(c: DataFrame, prefix: str = "OG", start: int = 1000) -> DataFrame:
-    """(group_id, node): clusters named by size, largest first, of equal ones by smallest node.
-
-    Sizes are counted up per size class, so that no window holds all clusters."""
+    """(group_id, node): clusters named by size, largest first, of equal ones by smallest node."""
     sizes = _bare(c).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("s"), F.min("node").alias("least"))
-    larger = Window.partitionBy().orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.groupBy("s").agg(F.count(F.lit(1)).alias("k")).withColumn("before", F.coalesce(F.sum("k").over(larger), F.lit(0)))  # a row per size
-    same = Window.partitionBy("s").orderBy("least")
-    ids = sizes.join(offsets, "s").withColumn("place", F.col("before") + F.row_number().over(same) - 1 + start)
+    ids = numbered_rows(sizes, [F.desc("s"), "least"], "place", start)
     return _bare(c).join(ids.select("cluster_id", "place"), "cluster_id").select(F.concat(F.lit(prefix), F.col("place").cast("string")).alias("group_id"), "node")
 
 
+def node_weights(g: DataFrame, c: DataFrame) -> DataFrame:
+    """(node, cluster_id, weight, share): what each node sends to each cluster, and its part of
+    all that the node sends to clusters."""
+    sums = g.where("src <> dst").join(_bare(c).withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node"), "cluster_id").agg(F.sum("weight").alias("weight"))
+    totals = sums.groupBy("node").agg(F.sum("weight").alias("_t"))
+    return sums.join(totals, "node").select("node", "cluster_id", "weight", (F.col("weight") / F.col("_t")).alias("share"))
+
+
+def absorb_small(g: DataFrame, c: DataFrame, most: int) -> DataFrame:
+    """Clusters of at most ``most`` nodes dissolved: their nodes go to the larger cluster that pulls
+    them most, of equal ones the smallest id, or stay where they are if none does."""
+    own = _bare(c)
+    large = own.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("s")).where(F.col("s") > most).select("cluster_id")
+    kept = own.join(large, "cluster_id", "left_semi")
+    small = own.join(large, "cluster_id", "left_anti")
+    pulled = node_weights(g, kept).join(small.select("node"), "node", "left_semi")
+    best = pulled.groupBy("node").agg(F.min(F.struct((-F.col("weight")).alias("w"), "cluster_id")).alias("b"))
+    moved = small.join(best, "node", "left").select(F.coalesce("b.cluster_id", "cluster_id").alias("cluster_id"), "node")
+    return kept.unionByName(moved)
+
+
+def collected(results: dict[str, DataFrame], key: str, value: str) -> DataFrame:
+    """(key, n, least, most, mean, median) of one value over several result tables."""
+    rows = None
+    for df in results.values():
+        one = df.select(key, F.col(value).cast("double").alias("v"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy(key).agg(F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.avg("v").alias("mean"), F.percentile("v", F.lit(0.5)).alias("median"))
+
+
 def lines(named: DataFrame) -> DataFrame:
     """(line): ``NAME: a b c`` per group. A line holds a whole group, as the text format wants it."""
     return named.groupBy("group_id").agg(F.array_sort(F.collect_list("node")).alias("m")).select(F.concat("group_id", F.lit(": "), F.array_join("m", " ")).alias("line"))

@@ -215,6 +215,12 @@ def cap_degrees(g: DataFrame, k: int) -> DataFrame:
     return kept.join(transpose(kept).select(*ARC), ARC, "left_semi")
 
 
+def sampled(g: DataFrame, keep: float, seed: int = 1) -> DataFrame:
+    """A part of the arcs, the same in every run, an arc and its reverse together."""
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.least(*ARC), F.greatest(*ARC)), F.lit(1_000_000)) / 1_000_000
+    return g.where(draw < keep)
+
+
 def upper(g: DataFrame) -> DataFrame:
     return g.where("src < dst")
 

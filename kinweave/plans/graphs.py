@@ -128,6 +128,12 @@ SELECT round(sum(inn)/sum(al), 6) mass, round((SELECT sum(s*(s-1))/(sum(s)*(sum(
 _add("residue", lambda s, d: cl.residue(gr.load(order_graph(s, d), "add"), part_clusters(s, d, "p_brand").where("node % 3 <> 0")), _G + """, c AS (SELECT p_partkey node, p_brand c FROM part WHERE p_partkey % 3 <> 0), m AS (SELECT src, dst, sum(w) w FROM (SELECT src, dst, w FROM g UNION ALL SELECT dst, src, w FROM g) GROUP BY 1, 2),
 p AS (SELECT src, c, sum(w) w FROM m JOIN c ON c.node = dst WHERE src NOT IN (SELECT node FROM c) GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY w DESC, c) k FROM p)
 SELECT c cluster_id, node FROM c UNION ALL SELECT c, src FROM k WHERE k = 1""")
+_add("node_cluster_weights", lambda s, d: _rounded(cl.node_weights(order_graph(s, d), part_clusters(s, d, "p_brand"))), _G + """, k AS (SELECT src node, p_brand cluster_id, sum(w) weight FROM g JOIN part ON p_partkey = dst GROUP BY 1, 2)
+SELECT node, cluster_id, weight, round(weight / sum(weight) OVER (PARTITION BY node), 6) share FROM k""")
+_add("absorb_small", lambda s, d: cl.absorb_small(order_graph(s, d), cl.meet(part_clusters(s, d, "p_brand"), part_clusters(s, d, "p_type")), 12), _G + """, c AS (SELECT p_partkey node, min(p_partkey) OVER (PARTITION BY p_brand, p_type) c, count(*) OVER (PARTITION BY p_brand, p_type) s FROM part),
+p AS (SELECT g.src, y.c, sum(w) w FROM g JOIN c x ON x.node = g.src AND x.s <= 12 JOIN c y ON y.node = g.dst AND y.s > 12 GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY w DESC, c) k FROM p)
+SELECT coalesce(k.c, c.c) cluster_id, node FROM c LEFT JOIN k ON k.src = node AND k.k = 1""")
+_add("collected_weights", lambda s, d: _rounded(cl.collected({"arcs": order_graph(s, d), "back": gr.transpose(order_graph(s, d))}, "src", "weight")), _G + ", a AS (SELECT src, w FROM g UNION ALL SELECT dst, w FROM g) SELECT src, count(*) n, min(w) least, max(w) most, round(avg(w), 6) mean, round(quantile_cont(w, 0.5), 6) median FROM a GROUP BY src")
 _add("enstrict", lambda s, d: cl.enstrict(part_clusters(s, d, "p_brand").where("node % 5 <> 0").unionByName(part_clusters(s, d, "p_type").where("node % 7 = 0")), part_clusters(s, d, "p_brand")), "SELECT CASE WHEN p_partkey % 5 <> 0 AND p_partkey % 7 = 0 THEN least(p_brand, p_type) WHEN p_partkey % 5 <> 0 THEN p_brand WHEN p_partkey % 7 = 0 THEN p_type END cluster_id, p_partkey node FROM part")
 _add("groups_numbered", lambda s, d: cl.numbered(part_clusters(s, d, "p_brand")), "WITH z AS (SELECT p_brand c, count(*) s, min(p_partkey) l FROM part GROUP BY 1), k AS (SELECT c, row_number() OVER (ORDER BY s DESC, l) + 999 i FROM z) SELECT 'OG' || i group_id, p_partkey node FROM part JOIN k ON c = p_brand")
 _add("flow_clusters", lambda s, d: flow.flow_clusters(order_graph(s, d).where("weight >= 45")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -35,3 +36,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def width(spark: SparkSession) -> int:
     """Number of shuffle partitions that the session plans with."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered_rows(df: DataFrame, order: list[Column | str], name: str, start: int = 0) -> DataFrame:
+    """``df`` with consecutive numbers in a total order, without a window over all rows.
+
+    Rows are sorted over all partitions and written with their place in the partition; the
+    sizes of the partitions, a row each, sum up to offsets."""
+    placed = checkpointed(df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_m", 33), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_k")).withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0))).drop("_k")
+    joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")  # a row per partition
+    return joined.withColumn(name, F.col("_before") + place + start).drop("_part", "_m", "_before")

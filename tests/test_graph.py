@@ -173,3 +173,23 @@ def test_blocks_of_queries(spark, monkeypatch):
     whole = {tuple(r) for r in vectors.against(rows, rows, "id", "v", "euclid").collect()}
     monkeypatch.setattr(vectors, "BLOCK", 10)
     assert {tuple(r) for r in vectors.against(rows, rows, "id", "v", "euclid").collect()} == whole and len(whole) == 40 * 39
+
+
+def test_numbers_in_a_total_order_over_partitions(spark):
+    from kinweave.session import numbered_rows
+
+    rows = numbered_rows(spark.range(1000).repartition(7), [F.desc("id")], "place", 5).collect()
+    assert sorted((r.place, r.id) for r in rows) == [(5 + i, 999 - i) for i in range(1000)]
+    assert numbered_rows(spark.range(0), ["id"], "place").count() == 0
+
+
+def test_samples_keep_both_directions(spark):
+    g = gr.load(graph(spark, random_arcs(4, 60, 900)))
+    kept = as_set(gr.sampled(g, 0.3))
+    assert kept == as_set(gr.sampled(g, 0.3)) and {(b, a, w) for a, b, w in kept} == kept and 0.15 < len(kept) / g.count() < 0.45
+
+
+def test_small_clusters_are_absorbed(spark):
+    c = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (9, 4), (8, 5)], "cluster_id bigint, node bigint")
+    g = gr.load(graph(spark, [(4, 1, 2.0), (4, 5, 9.0), (1, 2, 1.0)]))
+    assert {tuple(r) for r in cl.absorb_small(g, c, 1).collect()} == {(1, 1), (1, 2), (1, 3), (1, 4), (8, 5)}
