@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from kinweave.config import PairConfig
 from kinweave.functions.evalue import pair_score, passes
 from kinweave.operators.skew import salted_join
+from kinweave.session import checkpointed
 
 #: Mantissas below these count as zero: for best hits and scores, for in-paralogs, for co-orthologs.
 BEST_ZERO, KEEP_ZERO, CO_ZERO = 0.01, 0.001, 0.00001
@@ -66,12 +67,18 @@ def paralog_hits(sim: DataFrame, cfg: PairConfig) -> DataFrame:
 
 
 def _reciprocal(hits: DataFrame, zero: float) -> DataFrame:
-    """(seq_a, seq_b, taxon_a, taxon_b, unnormalized_score) of pairs with a record each way."""
-    side = lambda to: hits.where(F.col("query_id") < F.col("subject_id") if to else F.col("query_id") > F.col("subject_id"))
-    left = side(True).select(F.col("query_id").alias("seq_a"), F.col("subject_id").alias("seq_b"), F.col("query_taxon").alias("taxon_a"), F.col("subject_taxon").alias("taxon_b"), F.col("evalue_mant").alias("m1"), F.col("evalue_exp").alias("e1"))
-    right = side(False).select(F.col("subject_id").alias("seq_a"), F.col("query_id").alias("seq_b"), F.col("evalue_mant").alias("m2"), F.col("evalue_exp").alias("e2"))
-    score = pair_score(F.col("m1"), F.col("e1"), F.col("m2"), F.col("e2"), zero)
-    return left.join(right, ["seq_a", "seq_b"]).select("seq_a", "seq_b", "taxon_a", "taxon_b", score.alias("unnormalized_score"))
+    """(seq_a, seq_b, taxon_a, taxon_b, unnormalized_score) of pairs with a record each way.
+
+    Both directions meet in one aggregation, so that ``hits`` are made and shuffled once, where a
+    self-join would do so twice. The edges, few beside the records, are written once as their
+    means are joined back."""
+    forward = F.col("query_id") < F.col("subject_id")
+    side = F.struct(F.col("evalue_mant").alias("m"), F.col("evalue_exp").alias("e"), F.col("query_taxon").alias("q"), F.col("subject_taxon").alias("s"))
+    ends = [F.least("query_id", "subject_id").alias("seq_a"), F.greatest("query_id", "subject_id").alias("seq_b")]
+    both = hits.where(F.col("query_id") != F.col("subject_id")).groupBy(*ends).agg(F.max(F.when(forward, side)).alias("l"), F.max(F.when(~forward, side)).alias("r"))
+    score = pair_score(F.col("l.m"), F.col("l.e"), F.col("r.m"), F.col("r.e"), zero)
+    edges = both.where("l IS NOT NULL AND r IS NOT NULL")
+    return checkpointed(edges.select("seq_a", "seq_b", F.col("l.q").alias("taxon_a"), F.col("l.s").alias("taxon_b"), score.alias("unnormalized_score")))
 
 
 def by_taxon_pair(edges: DataFrame, kind: str) -> DataFrame:
@@ -119,8 +126,9 @@ def coorthologs(sim: DataFrame, cfg: PairConfig, ortho: DataFrame, para: DataFra
     ends = reach.unionByName(further).where("x <> z")
     pairs = ends.select(F.least("x", "z").alias("seq_a"), F.greatest("x", "z").alias("seq_b")).distinct()
     pairs = pairs.join(ortho.select("seq_a", "seq_b"), ["seq_a", "seq_b"], "left_anti")
-    both = _reciprocal(sim.where(accepted(cfg)), CO_ZERO).join(pairs, ["seq_a", "seq_b"], "left_semi")
-    return by_taxon_pair(both, "coortholog")
+    either = F.least("query_id", "subject_id").alias("seq_a"), F.greatest("query_id", "subject_id").alias("seq_b")
+    records = sim.where(accepted(cfg)).select("*", *either).join(pairs, ["seq_a", "seq_b"], "left_semi")
+    return by_taxon_pair(_reciprocal(records, CO_ZERO), "coortholog")
 
 
 def edge_union(*edges: DataFrame) -> DataFrame:
