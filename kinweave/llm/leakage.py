@@ -33,6 +33,9 @@ WINDOW = 12
 STEPS, SAMPLED = 22, 5
 #: Measured share of windows one word apart that meet in one repetition (see tests/llm/test_leakage.py).
 MEET_ONE_EDIT = 0.4
+#: The same for two edits, of which a dropped or inserted word is one and the word moved in or out at the end the other.
+#: Measured at the places where the edits hurt most (two replaced words: 0.15; 0.25 over all places), less a margin.
+MEET_TWO_EDITS = 0.12
 #: Characters of item text that one block holds at most (longer single items are blocks of their own).
 BLOCK_CHARS = 8_000_000
 #: Words that are embedded at a time, and known words kept in a task.
@@ -57,7 +60,9 @@ def words(text: str | None) -> list[str]:
 
 def repeats(recall: float, edits: int) -> int:
     """Repetitions so that windows ``edits`` words apart meet with probability ``recall``."""
-    meet = MEET_ONE_EDIT ** max(edits, 1)
+    if edits > 2:
+        raise ValueError("meeting rates are measured up to two edits")
+    meet = MEET_TWO_EDITS if edits == 2 else MEET_ONE_EDIT
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
 
 
@@ -168,8 +173,9 @@ class ItemBlock:
             count = high - low[hit]
             which = np.repeat(hit, count)
             offset = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-            pairs.append(np.stack([which, order[np.repeat(low[hit], count) + offset]], 1))
-        return np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.int64)
+            pairs.append(which * len(self.starts) + order[np.repeat(low[hit], count) + offset])
+        found = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
+        return np.stack(np.divmod(found, max(1, len(self.starts))), 1)
 
     def verified(self, ids: list[int], texts: list[list[str]], hasher: Hasher, edits: int) -> Iterator[tuple]:
         """(doc id, item id, equal windows, near windows, item windows met, item windows)."""
@@ -215,16 +221,16 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def leaks(documents: DataFrame, items: DataFrame, edits: int = 0, recall: float = 0.9, design_edits: int = 1) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, edits: int = 0, recall: float = 0.9) -> DataFrame:
     """Documents and the items that leaked into them.
 
     documents: doc_id, text; items: item_id, text. A pair is reported if some window of the
     document is at most ``edits`` word edits from a window of the item. ``recall`` is the
-    share of windows ``design_edits`` apart that shall meet; equal windows all do.
+    share of windows ``edits`` apart that shall meet; equal windows all do.
     Columns: doc_id, item_id, equal_windows, near_windows, item_windows_met, item_windows."""
     spark = documents.sparkSession
     schema = "doc_id bigint, item_id bigint, equal_windows int, near_windows int, item_windows_met int, item_windows int"
-    walks = Walks(repeats(recall, design_edits))
+    walks = Walks(repeats(recall, edits))
     corpus = spread(documents.where("doc_id IS NOT NULL AND text <> ''").select("doc_id", "text"))
     passes = []
     for items_of_block in _blocks(items):

@@ -90,3 +90,42 @@ def test_recall_of_windows_one_word_apart(edit):
         alone.append(sum(same) / len(same))
     assert sum(alone) / 1500 >= leakage.MEET_ONE_EDIT - 0.05 or edit != "replace"
     assert met / 1500 >= (0.9 if edit == "replace" else 0.75)
+
+
+KINDS = ["replace", "insert", "delete", "replace replace", "insert insert", "delete delete", "insert delete", "replace insert", "replace delete"]
+
+
+def edited(draw, words, kinds):
+    words = list(words)
+    for kind in kinds.split():
+        at = draw.randrange(len(words))
+        words[at : at + (kind != "insert")] = [] if kind == "delete" else [f"other{draw.randrange(10**6)}"]
+    return words
+
+
+def edited_windows(draw, kinds, n):
+    """Pairs of windows that the edits leave one or two words apart, by the edit distance in full."""
+    while n:
+        a = passage(draw, 12)
+        b = (edited(draw, a, kinds) + passage(draw, 4))[:12]
+        if 0 < leakage.edit_distance(a, b, 12) <= 2:
+            n -= 1
+            yield a, b
+
+
+@pytest.mark.parametrize("kinds", KINDS)
+def test_recall_of_single_windows_two_words_apart(spark, kinds):
+    pairs = list(enumerate(edited_windows(random.Random(kinds), kinds, 600)))
+    items = spark.createDataFrame([(i, " ".join(a)) for i, (a, _) in pairs], "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, " ".join(b)) for i, (_, b) in pairs], "doc_id bigint, text string")
+    met = leakage.leaks(docs, items, 2).where("doc_id = item_id").count()
+    assert met / len(pairs) >= 0.9
+
+
+def test_recall_where_two_edits_hurt_most():
+    draw, walks, hasher, met = random.Random(3), leakage.Walks(leakage.repeats(0.9, 2)), leakage.Hasher(), 0
+    for _ in range(500):
+        a = passage(draw, 12)
+        b = [*a[:1], "other", *a[2:5], "another", *a[6:]]
+        met += any(k[0] == x[0] for k, x in zip(*(list(walks.keys(hasher(w), np.array([0]))) for w in (a, b)), strict=True))
+    assert met / 500 >= 0.9
