@@ -117,12 +117,18 @@ def expand_pruned(m: DataFrame, cfg: FlowConfig) -> tuple[DataFrame, DataFrame]:
         F.max("weight").alias("most"), F.sum(F.col("weight") ** 2).alias("centre"),
         F.count(F.when(F.col("weight") >= bar, 1)).alias("n"), F.sum(F.when(F.col("weight") >= bar, F.col("weight")).otherwise(0.0)).alias("mass"),
         F.min(F.when(F.col("_r") <= cfg.select, F.col("weight"))).alias("select_bar"), F.count(F.when(F.col("_r") <= cfg.select, 1)).alias("select_n"),
+        F.sum(F.when(F.col("_r") <= cfg.select, F.col("weight"))).alias("select_mass"), (F.max(F.when(F.col("_r") <= cfg.select, F.col("_r"))) - 1).alias("above_n"),
         F.min(F.when(F.col("_r") <= cfg.recover, F.col("weight"))).alias("recover_bar"),
     )
     w = F.col("weight")
     recover = (F.col("n") < cfg.recover) & (F.col("mass") < cfg.mass)
-    select = (F.col("n") > cfg.select) & ((w > F.col("select_bar")) | ((F.col("select_n") <= cfg.select) & (w >= F.col("select_bar"))) | (F.col("select_bar") == F.col("most")))
-    keep = F.when(recover, w >= F.col("recover_bar")).when(F.col("n") > cfg.select, select & (w >= bar)).otherwise(w >= bar)
+    ties = (F.col("select_n") <= cfg.select) | (F.col("select_bar") == F.col("most"))  # those at the bar stay
+    chosen = (w > F.col("select_bar")) | (ties & (w >= F.col("select_bar")))
+    chosen_n = F.when(ties, F.col("select_n")).otherwise(F.col("above_n"))
+    chosen_mass = F.col("select_mass") - (F.col("select_n") - chosen_n) * F.col("select_bar")
+    again = (chosen_n < cfg.recover) & (chosen_mass < cfg.mass)
+    select = (w >= bar) & F.when(again, w >= F.col("recover_bar")).otherwise(chosen)
+    keep = F.when(recover, w >= F.col("recover_bar")).when(F.col("n") > cfg.select, select).otherwise(w >= bar)
     kept = ranked.join(stats, "src").where(keep)
     sums = kept.groupBy("src").agg(F.sum("weight").alias("s"), F.count(F.lit(1)).alias("k"), F.max("most").alias("most"), F.max("centre").alias("centre"))
     scaled = kept.select(*gr.ARC, "weight").join(sums.select("src", "s"), "src").select(*gr.ARC, (w / F.col("s")).alias("weight"))

@@ -106,6 +106,40 @@ def test_kernel_and_loop_agree_on_random_graphs_with_pruning(spark):
     assert agree > 0.9  # ties at a bar may fall either way
 
 
+def column_supports(spark, arcs, cfg):
+    """What each column keeps of the square, by the kernel and by the loop."""
+    m = gr.normalize(graph(spark, arcs))
+    size = 1 + max(max(a, b) for a, b, _ in arcs)
+    dense = np.zeros((size, size))
+    for r in m.collect():
+        dense[r.dst, r.src] = r.weight
+    kernel = np.apply_along_axis(flow.prune_column, 0, dense @ dense, cfg)
+    loop = {(r.src, r.dst) for r in flow.expand_pruned(m, cfg)[0].collect()}
+    return {(j, i) for i, j in zip(*np.nonzero(kernel), strict=True)}, loop
+
+
+@pytest.mark.parametrize("select, recover, prune", [(8, 14, 1000), (8, 30, 1000), (8, 30, 60), (12, 14, 10_000)])
+def test_loop_recovers_after_selection_like_the_kernel(spark, select, recover, prune):
+    draw = random.Random(17)
+    arcs = [(a, b, draw.uniform(0.5, 2.0)) for a in range(40) for b in draw.sample(range(40), 9)]
+    kernel, loop = column_supports(spark, arcs, FlowConfig(2.0, prune=prune, select=select, recover=recover))
+    assert loop == kernel and len(kernel) > 40 * select
+
+
+def test_loop_selects_only_the_largest_if_too_many_tie_there(spark):
+    arcs = [(0, 1, 1.0), *[(1, i, 8.0) for i in range(2, 8)], (1, 8, 1.0), (1, 9, 1.0)]
+    kernel, loop = column_supports(spark, arcs, FlowConfig(2.0, select=4, recover=4, mass=0.5))
+    assert loop == kernel == {(0, i) for i in range(2, 8)}
+
+
+def test_flow_of_kernel_and_loop_with_recovery(spark):
+    draw = random.Random(18)
+    arcs = [(a, b, draw.uniform(0.5, 2.0)) for a in range(40) for b in draw.sample(range(40), 9)]
+    cfg = FlowConfig(2.0, select=8, recover=14)
+    found = [{(r.cluster_id, r.node) for r in flow.flow_clusters(graph(spark, arcs), cfg, small=s).collect()} for s in (500, 0)]
+    assert found[0] == found[1]
+
+
 def test_isolated_nodes_and_empty_graph(spark):
     extra = spark.createDataFrame([(7,), (1,)], "node bigint")
     assert {tuple(r) for r in flow.flow_clusters(graph(spark, [(1, 2, 1.0)]), extra=extra).select("cluster_id", "node").collect()} == {(1, 1), (1, 2), (7, 7)}
