@@ -9,6 +9,7 @@ that are no nodes reach nothing; an empty graph gives empty results.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,14 +65,14 @@ def component_sweep(g: DataFrame, thresholds: list[float]) -> DataFrame:
     return reduce(DataFrame.unionByName, found).select("threshold", "components", "largest")
 
 
-def distances(g: DataFrame, sources: DataFrame, most: int) -> DataFrame:
-    """(source, node, depth, paths): fewest arcs from each source, up to ``most``, and the number
-    of shortest paths; the source itself at depth 0."""
+def distances(g: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
+    """(source, node, depth, paths): fewest arcs from each source, up to ``most`` (None: until nothing
+    new is reached), and the number of shortest paths; the source itself at depth 0."""
     arcs = g.where("src <> dst").select("src", "dst").distinct()
     known = gr.nodes(g).join(sources.select("node").distinct(), "node", "left_semi")
     front = checkpointed(known.select(F.col("node").alias("source"), "node", F.lit(0).alias("depth"), F.lit(1.0).alias("paths")))
     reached = front
-    for depth in range(1, most + 1):
+    for depth in count(1) if most is None else range(1, most + 1):
         forward = front.join(arcs.withColumnRenamed("src", "node"), "node").groupBy("source", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
         fresh = forward.join(reached.select("source", "node"), ["source", "node"], "left_anti")
         front = checkpointed(fresh.select("source", "node", F.lit(depth).alias("depth"), "paths"))
@@ -81,12 +82,12 @@ def distances(g: DataFrame, sources: DataFrame, most: int) -> DataFrame:
     return reached
 
 
-def eccentricity(g: DataFrame, sources: DataFrame, most: int) -> DataFrame:
-    """(node, eccentricity, reached): depth of the farthest node within ``most`` arcs."""
+def eccentricity(g: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
+    """(node, eccentricity, reached): depth of the farthest node, within ``most`` arcs if given."""
     return distances(g, sources, most).groupBy(F.col("source").alias("node")).agg(F.max("depth").alias("eccentricity"), F.count(F.lit(1)).alias("reached"))
 
 
-def betweenness(g: DataFrame, sources: DataFrame, most: int) -> DataFrame:
+def betweenness(g: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
     """(node, score): shortest paths from the sources that pass through a node, each node pair
     sharing one unit among its paths. Depths are gone through backwards, a join each."""
     arcs = g.where("src <> dst").select("src", "dst").distinct()

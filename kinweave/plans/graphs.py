@@ -93,7 +93,7 @@ def _sources(spark: SparkSession, d: str) -> DataFrame:
 _BFS = ", n AS (SELECT src node FROM g UNION SELECT dst FROM g), r(source, node, depth) AS (SELECT p_partkey, p_partkey, 0 FROM part JOIN n ON node = p_partkey WHERE p_partkey % 50 = 0 UNION SELECT r.source, g.dst, r.depth + 1 FROM r JOIN g ON g.src = r.node WHERE r.depth < 3), m AS (SELECT source, node, min(depth) depth FROM r GROUP BY 1, 2) "
 _add("bfs_depth", lambda s, d: network.distances(order_graph(s, d), _sources(s, d), 3).select("source", "node", "depth"), _G + _BFS + "SELECT source, node, depth FROM m")
 _add("eccentricity", lambda s, d: network.eccentricity(order_graph(s, d), _sources(s, d), 3), _G + _BFS + "SELECT source node, max(depth) eccentricity, count(*) reached FROM m GROUP BY source")
-_add("betweenness", lambda s, d: _rounded(network.betweenness(order_graph(s, d), _sources(s, d), 3)))
+_add("betweenness", lambda s, d: _rounded(network.betweenness(order_graph(s, d), _sources(s, d))))
 _BRAND = "SELECT p_partkey node, p_brand c FROM part"
 _add("block_inside", lambda s, d: gr.blocks(order_graph(s, d), part_clusters(s, d, "p_brand")), _G + f", c AS ({_BRAND}) SELECT src, dst, w weight FROM g JOIN c a ON a.node = src JOIN c b ON b.node = dst WHERE a.c = b.c")
 _add("block_across", lambda s, d: gr.blocks(order_graph(s, d), part_clusters(s, d, "p_brand"), False), _G + f", c AS ({_BRAND}) SELECT src, dst, w weight FROM g JOIN c a ON a.node = src JOIN c b ON b.node = dst WHERE a.c <> b.c")

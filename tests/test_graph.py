@@ -9,6 +9,7 @@ from kinweave.config import FlowConfig
 from kinweave.operators import clusters as cl
 from kinweave.operators import flow, network, vectors
 from kinweave.operators import graph as gr
+from kinweave.plans import graphs
 
 ARCS = "src bigint, dst bigint, weight double"
 
@@ -193,6 +194,20 @@ def test_betweenness_and_shortest_paths(spark):
     assert {(r.node, r.depth) for r in network.shortest_path_nodes(line, asked, 9).collect()} == {(1, 0), (2, 1), (4, 1), (3, 2), (5, 3)}
 
 
+def test_searches_go_on_until_nothing_new_is_reached(spark):
+    arcs = [(i, i + 1, 1.0) for i in range(7)] + [(7, 0, 1.0), (2, 9, 1.0)]
+    g, sources = graph(spark, arcs), spark.createDataFrame([(0,), (9,)], "node bigint")
+    assert {tuple(r) for r in network.eccentricity(g, sources).collect()} == {(0, 7, 9), (9, 0, 1)}
+    assert {r.node: round(r.score, 9) for r in network.betweenness(g, sources).collect()} == brandes(arcs, (0, 9))
+
+
+def test_betweenness_query_takes_paths_of_any_length(spark, monkeypatch):
+    arcs = [(50, 1, 1.0), *[(i, i + 1, 1.0) for i in range(1, 6)]]
+    monkeypatch.setattr(graphs, "order_graph", lambda s, d: graph(s, arcs))
+    monkeypatch.setattr(graphs, "_sources", lambda s, d: s.createDataFrame([(50,)], "node bigint"))
+    assert {r.node: r.score for r in graphs.QUERIES["betweenness"](spark, "").collect()} == brandes(arcs, (50,))
+
+
 def test_vectors_with_nulls_and_zeros(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [3.0, 3.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0]), (6, [1.0, None])], "id bigint, v array<double>")
     got = {(r.query, r.row): round(r.score, 6) for r in vectors.against(rows, rows.where("id = 0"), "id", "v", "cosine").collect()}
