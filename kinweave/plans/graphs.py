@@ -143,7 +143,7 @@ _add("split_connected", lambda s, d: flow.split_connected(part_clusters(s, d, "p
 
 def gene_groups(spark: SparkSession, d: str) -> DataFrame:
     """The whole run over the order hits: relations, clustering and numbered groups."""
-    return pipeline.from_similarities(relations._sim(spark, d), RunConfig(relations.CFG, FlowConfig(2.0, prune=1000, select=60, recover=70)))["groups"]
+    return pipeline.from_similarities(relations._sim(spark, d), RunConfig(relations.CFG, FlowConfig(2.0)))["groups"]
 
 
 _add("gene_groups", gene_groups)

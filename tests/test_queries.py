@@ -45,3 +45,13 @@ def test_query(spark, tables, name):
 @pytest.mark.parametrize("name", ["flow_clusters", "gene_groups", "component_sweep", "betweenness", "split_connected", "report_hits"])
 def test_query_without_sql_runs(spark, name):
     assert entry.queries()[name](spark, DATA).count() >= 0
+
+
+def test_gene_groups_keeps_what_the_flow_keeps_by_default(spark, monkeypatch):
+    from kinweave.config import FlowConfig
+    from kinweave.plans import graphs
+
+    seen = []
+    monkeypatch.setattr(graphs.pipeline, "from_similarities", lambda sim, cfg: seen.append(cfg.flow) or {"groups": sim})
+    entry.queries()["gene_groups"](spark, DATA)
+    assert [(c.prune, c.select, c.recover) for c in seen] == [(c.prune, c.select, c.recover) for c in (FlowConfig(),)]
