@@ -21,6 +21,12 @@ def split_evalue(value: Column) -> tuple[Column, Column]:
     return F.floor(mant * 100 + 0.5) / 100, exp
 
 
+def ordered_evalue(mant: Column, exp: Column) -> tuple[Column, Column]:
+    """(exponent, mantissa) such that smaller is better and zero is best of all."""
+    zero = mant == 0
+    return F.when(zero, F.lit(-(2**31))).otherwise(exp).cast("int"), F.when(zero, F.lit(0.0)).otherwise(mant)
+
+
 def repair_zero_exponents(df: DataFrame, mant: str = "evalue_mant", exp: str = "evalue_exp") -> DataFrame:
     """Zero e-values get the exponent below the smallest of the others (0 - 1 if all are zero)."""
     least = df.agg(F.coalesce(F.min(F.when(F.col(mant) != 0, F.col(exp))), F.lit(0)).alias("_least"))

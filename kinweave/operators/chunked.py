@@ -3,7 +3,8 @@
 Rows are cut into input partitions of about equal size by their order column. For every key
 above one chunk the rows per input partition are counted, the counts are summed up to
 offsets, and each row gets its exact position within its key; positions are cut into equal
-chunks. Chunks are processed on their own, and the states at their boundaries are merged in
+chunks. A key and an input partition together are never more than that partition's rows, so
+that no join on both meets a hot value. Chunks are processed on their own, and the states at their boundaries are merged in
 order. Keys that fit one chunk are one chunk.
 
 Defined results: null keys are no keys; copies of a row count once; rows are ordered by the
@@ -18,10 +19,6 @@ from pyspark.sql import functions as F
 from kinweave.functions.search import interval_of
 from kinweave.session import width
 
-#: Broadcast of offsets: a key above one chunk occurs in at most ``parts`` partitions, and
-#: there are at most ``total / chunk_rows`` such keys; beyond this product the join shuffles.
-MAX_OFFSETS = 500_000
-
 
 def distinct_rows(df: DataFrame, row: Column, columns: dict[str, Column]) -> DataFrame:
     """One row per copy group: (_row, columns...), aggregated before the shuffle."""
@@ -38,17 +35,15 @@ def chunked(rows: DataFrame, key: str, chunk_rows: int | None = None) -> DataFra
         return keyed.withColumn("_chunk", F.lit(0).cast("bigint"))
     chunk_rows = chunk_rows or max(1, -(-total // (2 * parts)))
     part = interval_of(F.col("_row"), sorted(set(marks))).alias("_part")
-    per_key = keyed.groupBy(key).count().where(F.col("count") > chunk_rows).select(key)
-    small = (total // chunk_rows + 1) * parts <= MAX_OFFSETS
-    fit = F.broadcast if small else (lambda df: df)
-    placed = keyed.select("*", part)
-    large = placed.join(fit(per_key), key, "left_semi")
+    # keys above a chunk are fewer than total / chunk_rows, by default two per partition of the shuffle
+    per_key = F.broadcast(keyed.groupBy(key).count().where(F.col("count") > chunk_rows).select(key))
+    large = keyed.select("*", part).join(per_key, key, "left_semi")
     before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = large.groupBy(key, "_part").count().select(key, "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     within = Window.partitionBy(key, "_part").orderBy("_row")
-    numbered = large.repartition(parts, "_part").withColumn("_n", F.row_number().over(within)).join(fit(offsets), [key, "_part"])
+    numbered = large.repartition(parts, "_part").withColumn("_n", F.row_number().over(within)).join(offsets, [key, "_part"])
     chunk = F.floor((F.col("_offset") + F.col("_n") - 1) / chunk_rows).alias("_chunk")
-    rest = keyed.join(fit(per_key), key, "left_anti").select("*", F.lit(0).cast("bigint").alias("_chunk"))
+    rest = keyed.join(per_key, key, "left_anti").select("*", F.lit(0).cast("bigint").alias("_chunk"))
     return numbered.select(*keyed.columns, chunk).unionByName(rest)
 
 

@@ -1,9 +1,8 @@
 """From alignment hits to one similarity record per query and subject.
 
-Hits of a pair are collapsed by one aggregation: the first e-value in line order, the
-length-weighted identity, and the residues of the shorter protein covered by any hit. The
-covered length comes from the interval operator, so that a pair with very many hits is no
-task of its own.
+Hits of a pair are collapsed in two aggregations of one pass: the first e-value in line order,
+the length-weighted identity, and the residues of the shorter protein covered by any hit.
+Spans of accumulators, which have no length to bound them, go through the interval operator.
 
 Defined results: hits without ids are ignored; a pair with one hit is a record; equal
 lengths count on the subject; hits whose gene has no length are dropped, or raise with
@@ -12,7 +11,7 @@ lengths count on the subject; hits whose gene has no length are dropped, or rais
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.evalue import repair_zero_exponents, round_tenth, split_evalue
@@ -55,31 +54,50 @@ def extent(start, end) -> tuple:
     return F.min(F.when(whole, F.least(start, end))).alias("first_residue"), F.max(F.when(whole, F.greatest(start, end))).alias("last_residue")
 
 
-def _finish(pairs: DataFrame, missing: DataFrame) -> DataFrame:
-    joined = pairs.join(missing, _PAIR, "left")
-    covered = F.col("last_residue") - F.col("first_residue") + 1 - F.coalesce("missing", F.lit(0))
+def _shaped(pairs: DataFrame, residues: Column) -> DataFrame:
     shorter = F.least("query_length", "subject_length")
-    return joined.select(
+    return pairs.select(
         *_PAIR, "query_taxon", "subject_taxon", "evalue_mant", "evalue_exp",
         round_tenth(F.col("identities") / F.col("total_length")).alias("percent_identity"),
-        round_tenth(100 * F.coalesce(covered, F.lit(0)) / shorter).alias("percent_match"),
+        round_tenth(100 * F.coalesce(residues, F.lit(0)) / shorter).alias("percent_match"),
     )
 
 
+def _finish(pairs: DataFrame, missing: DataFrame) -> DataFrame:
+    return _shaped(pairs.join(missing, _PAIR, "left"), F.col("last_residue") - F.col("first_residue") + 1 - F.coalesce("missing", F.lit(0)))
+
+
+def covered(spans: Column) -> Column:
+    """Residues in any of the (lo, hi) spans of an array that is sorted by lo."""
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-(2**62)).alias("end"))
+
+    def step(acc: Column, s: Column) -> Column:
+        fresh = s["hi"] - F.greatest(s["lo"] - 1, acc["end"])
+        return F.struct((acc["n"] + F.greatest(fresh, F.lit(0))).alias("n"), F.greatest(acc["end"], s["hi"]).alias("end"))
+
+    return F.aggregate(spans, start, step, lambda acc: acc["n"])
+
+
 def collapse(hits: DataFrame, order: str = "line_id") -> DataFrame:
     """Similarity records of ``hits`` that carry evalue_mant, evalue_exp, genes and coordinates.
 
-    The e-value is that of the first hit by ``order``, of equal ones the smallest."""
+    The e-value is that of the first hit by ``order``, of equal ones the smallest. Hits are read
+    once: first one row per pair and first residue is left, with the farthest last one, so that
+    a pair has at most as many rows as its shorter protein has residues, however many hits."""
     on_query = F.col("query_length") < F.col("subject_length")
-    hits = hits.withColumn("_a", F.when(on_query, F.col("q_start")).otherwise(F.col("s_start"))).withColumn("_b", F.when(on_query, F.col("q_end")).otherwise(F.col("s_end")))
-    a, b = F.col("_a"), F.col("_b")
-    first = F.min(F.struct(order, "evalue_exp", "evalue_mant")).alias("_first")
-    pairs = hits.groupBy(*_PAIR).agg(
-        first, *extent(a, b), F.sum(F.col("percent_identity") * F.col("length")).alias("identities"), F.sum("length").alias("total_length"),
-        *[F.max(c).alias(c) for c in ("query_taxon", "subject_taxon", "query_length", "subject_length")],
+    a, b = F.when(on_query, F.col("q_start")).otherwise(F.col("s_start")), F.when(on_query, F.col("q_end")).otherwise(F.col("s_end"))
+    whole = a.isNotNull() & b.isNotNull()
+    kept = ("query_taxon", "subject_taxon", "query_length", "subject_length")
+    starts = hits.groupBy(*_PAIR, F.when(whole, F.least(a, b).cast("bigint")).alias("_lo")).agg(
+        F.max(F.when(whole, F.greatest(a, b).cast("bigint"))).alias("_hi"), F.min(F.struct(order, "evalue_exp", "evalue_mant")).alias("_first"),
+        F.sum(F.col("percent_identity") * F.col("length")).alias("identities"), F.sum("length").alias("total_length"), *[F.max(c).alias(c) for c in kept],
+    )
+    span = F.when(F.col("_lo").isNotNull(), F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi")))
+    pairs = starts.groupBy(*_PAIR).agg(
+        F.min("_first").alias("_first"), F.sum("identities").alias("identities"), F.sum("total_length").alias("total_length"),
+        F.array_sort(F.collect_list(span)).alias("_spans"), *[F.max(c).alias(c) for c in kept],
     )
-    pairs = pairs.select("*", "_first.evalue_exp", "_first.evalue_mant")
-    return _finish(pairs, uncovered(hits, a, b))
+    return _shaped(pairs.select("*", "_first.evalue_exp", "_first.evalue_mant"), covered(F.col("_spans")))
 
 
 def to_similarities(hits: DataFrame, genes: DataFrame, strict: bool = False) -> DataFrame:

@@ -6,8 +6,9 @@ found by semi-joins from the newest orphans down to their children, until no new
 appear.
 
 Defined results: null and blank keys are no reference; copies of a child row count once;
-parent rows whose validity ends before it begins are never valid; a child time of null
-matches no parent; an empty parent table makes every reference a direct orphan.
+parent rows whose validity ends before it begins, or begins at a null time, are never valid;
+a child time of null matches no parent; an empty parent table makes every reference a direct
+orphan.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.operators.intervals import periods
-from kinweave.operators.skew import every_salt, hot_values, salt
+from kinweave.operators.skew import every_salt, hot_values, hot_values_with, salt
 from kinweave.session import checkpointed
 
 #: Rows of a hot key go to so many tasks, for every month.
@@ -55,7 +56,7 @@ _LOW, _HIGH = -(2**62), 2**62
 
 
 def _micros(col: Column | None, default: int) -> Column:
-    return F.lit(default).cast("bigint") if col is None else F.coalesce(F.unix_micros(col), F.lit(default))
+    return F.lit(default).cast("bigint") if col is None else F.unix_micros(col)
 
 
 def _month(micros: Column) -> Column:
@@ -71,13 +72,12 @@ class _Edge:
         named = F.explode(F.array(*[F.struct(F.lit(r.field).alias("field"), r.column.alias("ref")) for r in refs]))
         refs_df = child.df.select(child.row.alias("row"), F.unix_micros(child.at).alias("at"), named.alias("r"))
         self.refs = refs_df.select("row", "at", "r.field", "r.ref").where("ref IS NOT NULL")
-        rows = parent.df.select(parent.row.alias("prow"), one.key.alias("ref"), _micros(one.valid_from, _LOW).alias("since"), _micros(one.valid_to, _HIGH).alias("until"))
+        rows = parent.df.select(parent.row.alias("prow"), one.key.alias("ref"), _micros(one.valid_from, _LOW).alias("since"), F.coalesce(_micros(one.valid_to, _HIGH), F.lit(_HIGH)).alias("until"))
         self.parents = rows.where("ref IS NOT NULL AND since < until").distinct()
         self.timed = one.valid_from is not None or one.valid_to is not None
         self.many = hot_values(self.parents, F.col("ref"))
-        self.hot = sorted({*hot_values(self.refs, F.col("ref")), *self.many})
-        if self.hot:
-            self.first, self.last = self.refs.agg(F.min("at"), F.max("at")).first()
+        often, (self.first, self.last) = hot_values_with(self.refs, F.col("ref"), [F.min("at"), F.max("at")])
+        self.hot = sorted({*often, *self.many})
 
     def keyed(self) -> DataFrame:
         """References with the salt of hot keys, and with their month."""
@@ -152,6 +152,8 @@ def cascade(tables: dict[str, Entity], references: list[Reference]) -> DataFrame
             newly = edge.parents.join(fresh[parent].withColumnRenamed("row", "prow"), "prow", "left_semi")
             alive = edge.parents.join(dead[parent].withColumnRenamed("row", "prow"), "prow", "left_anti")
             orphans = edge.match(edge.match(edge.keyed(), newly, "left_semi"), alive, "left_anti")
+            if len(found[child]) > 1:  # written, so that the plan does not grow with the depth
+                found[child] = [checkpointed(reduce(DataFrame.unionByName, found[child]))]
             for earlier in found[child]:
                 orphans = orphans.join(earlier.select("row", "field"), ["row", "field"], "left_anti")
             orphans = add(child, orphans, "inherited", depth)

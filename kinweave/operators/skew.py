@@ -16,10 +16,15 @@ def hot_values(df: DataFrame, key: Column, share: float = 1 / 400) -> list:
     most ``1 / share`` values reach the driver. The list only steers salting, so that the
     sketch's error in counts cannot change a result.
     """
+    return hot_values_with(df, key, [], share)[0]
+
+
+def hot_values_with(df: DataFrame, key: Column, also: list[Column], share: float = 1 / 400) -> tuple[list, list]:
+    """(hot values, further aggregates over the rows with a key), in the same scan."""
     limit = int(1 / share)
-    keyed = df.select(key.alias("k")).where("k IS NOT NULL")
-    row = keyed.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(k, {limit}, {TRACKED})").alias("top")).first()
-    return [t["item"] for t in row["top"] or [] if t["count"] >= max(2, share * row["n"])]
+    keyed = df.withColumn("_key", key).where("_key IS NOT NULL")
+    row = keyed.agg(F.count(F.lit(1)).alias("_n"), F.expr(f"approx_top_k(_key, {limit}, {TRACKED})").alias("_top"), *also).first()
+    return [t["item"] for t in row["_top"] or [] if t["count"] >= max(2, share * row["_n"])], list(row[2:])
 
 
 def salt(key: Column, hot: list, spread: Column, salts: int) -> Column:

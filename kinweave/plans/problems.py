@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.operators import chunked, intervals, orphans, parsing, topn
+from kinweave.functions.evalue import ordered_evalue
+from kinweave.operators import chunked, intervals, orphans, parsing
+from kinweave.session import checkpointed
 from kinweave.tables import clean_id, table
 
 
 def _graph(spark: SparkSession, d: str, children: list[str]) -> DataFrame:
     """Orphans of the gene graph: taxa <- genes <- children (similarities, subject_accumulators)."""
     genes = table(spark, d, "genes")
-    gene_row = F.concat_ws("\t", clean_id(F.col("gene_id")), clean_id(F.col("taxon")), F.col("loaded_at").cast("string"), F.col("withdrawn_at").cast("string"))
+    registration = F.struct(clean_id(F.col("gene_id")).alias("gene_id"), clean_id(F.col("taxon")).alias("taxon"), "loaded_at", "withdrawn_at")
+    gene_row = F.to_json(registration, {"ignoreNullFields": "false"})
     entities = {"taxa": orphans.Entity(table(spark, d, "taxa"), F.col("taxon"), F.lit(None).cast("timestamp")), "genes": orphans.Entity(genes, gene_row, F.col("loaded_at").cast("timestamp"))}
     references = [orphans.Reference("genes", "taxon", clean_id(F.col("taxon")), "taxa", clean_id(F.col("taxon")))]
     for child, row in (("similarities", "record_id"), ("subject_accumulators", "acc_id")):
@@ -37,7 +40,8 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 def _records(spark: SparkSession, d: str, *more: str) -> DataFrame:
     ids = {c: clean_id(F.col(c)) for c in ("query_id", "query_taxon")}
-    return chunked.distinct_rows(table(spark, d, "similarities"), F.col("record_id"), ids | {c: F.col(c) for c in more})
+    rows = chunked.distinct_rows(table(spark, d, "similarities"), F.col("record_id"), ids | {c: F.col(c) for c in more})
+    return checkpointed(rows)  # every pass of the chunking reads them
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -53,7 +57,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_results(spark: SparkSession, d: str) -> DataFrame:
     rows = _records(spark, d, "subject_taxon", "evalue_mant", "evalue_exp").withColumn("subject_taxon", clean_id(F.col("subject_taxon")))
-    exp, mant = topn.evalue_score(F.col("evalue_mant"), F.col("evalue_exp"))
+    exp, mant = ordered_evalue(F.col("evalue_mant"), F.col("evalue_exp"))
     best = F.when(F.col("evalue_mant").isNotNull() & F.col("evalue_exp").isNotNull(), F.struct(exp.alias("exp"), mant.alias("mant")))
     results = chunked.key_results(rows, "query_id", "subject_taxon", best)
     return results.select(
@@ -62,23 +66,6 @@ def p2_results(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _top_hits(spark: SparkSession, d: str) -> DataFrame:
-    exp, mant = topn.evalue_score(F.col("evalue_mant"), F.col("evalue_exp"))
-    rows = table(spark, d, "similarities").select(
-        clean_id(F.col("query_id")).alias("query_id"), clean_id(F.col("subject_taxon")).alias("subject_taxon"), clean_id(F.col("subject_id")).alias("subject_id"),
-        F.when(F.col("evalue_mant").isNotNull() & F.col("evalue_exp").isNotNull(), exp).alias("score_exp"), mant.alias("score_mant"), "record_id",
-    )
-    return topn.top_n(rows, 3, ["query_id", "subject_taxon"], ["score_exp", "score_mant"], ["subject_id", "record_id"])
-
-
-def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return _top_hits(spark, d).select("record_id")
-
-
-def p3_hits(spark: SparkSession, d: str) -> DataFrame:
-    return _top_hits(spark, d).select("query_id", "subject_taxon", "rank", "subject_id", "record_id", "score_mant")
-
-
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return parsing.errors(parsing.parsed(table(spark, d, "blast_lines")), spark).select(F.col("row").alias("line_id"))
 
@@ -105,7 +92,7 @@ def p5_periods(spark: SparkSession, d: str) -> DataFrame:
     return intervals.periods(*_pair_spans(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_results, p3_found, p3_hits, p4_found, p4_rejects, p4_hits, p5_found, p5_periods)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_results, p4_found, p4_rejects, p4_hits, p5_found, p5_periods)}
 
 
 def _bare(col: str) -> str:
@@ -129,13 +116,6 @@ judged AS (
 
 _RECORDS = f"WITH r AS (SELECT DISTINCT record_id, {_bare('query_id')} q, {_bare('query_taxon')} qt, {_bare('subject_taxon')} st, evalue_mant m, evalue_exp e FROM similarities)"
 
-_RANKED = f"""
-WITH r AS (SELECT DISTINCT record_id, {_bare("query_id")} query_id, {_bare("subject_id")} subject_id, {_bare("subject_taxon")} subject_taxon,
-  CASE WHEN evalue_mant = 0 THEN -2147483648 ELSE evalue_exp END e, evalue_mant m FROM similarities WHERE evalue_exp IS NOT NULL AND evalue_mant IS NOT NULL),
-k AS (SELECT *, row_number() OVER (PARTITION BY query_id, subject_taxon ORDER BY e, m, subject_id, record_id) "rank" FROM r
-  WHERE query_id IS NOT NULL AND subject_id IS NOT NULL AND subject_taxon IS NOT NULL)
-"""
-
 _CELLS = r"""
 WITH t AS (SELECT DISTINCT line_id, regexp_replace(line, '[\r\n]+$', '') x FROM blast_lines),
 r AS (SELECT * FROM t WHERE regexp_matches(x, '[^ \t\n\x0B\f\r]') AND NOT starts_with(x, '#')),
@@ -171,8 +151,6 @@ i AS (SELECT *, sum(c) OVER (PARTITION BY q ORDER BY record_id) i FROM o), l AS
 b AS (SELECT q, CASE WHEN m = 0 THEN -2147483648 ELSE e END e, m, row_number() OVER (PARTITION BY q ORDER BY CASE WHEN m = 0 THEN -2147483648 ELSE e END, m) k FROM r WHERE m IS NOT NULL AND e IS NOT NULL)
 SELECT r.q query_id, count(*) n_records, min(record_id) first_record, max(record_id) last_record, any_value(b.e)::INT best_exp, any_value(b.m) best_mant, any_value(longest) longest_streak
 FROM r JOIN x ON x.q = r.q LEFT JOIN b ON b.q = r.q AND b.k = 1 GROUP BY r.q""",
-    "p3_found": _RANKED + 'SELECT record_id FROM k WHERE "rank" <= 3',
-    "p3_hits": _RANKED + 'SELECT query_id, subject_taxon, "rank"::INT "rank", subject_id, record_id, m score_mant FROM k WHERE "rank" <= 3',
     "p4_found": _CELLS + "SELECT line_id FROM j WHERE NOT ok",
     "p4_hits": _CELLS
     + r"""SELECT line_id, trim(v[1], E' \t\r') query_id, trim(v[2], E' \t\r') subject_id, v[3]::DOUBLE percent_identity, v[4]::BIGINT length, v[5]::BIGINT mismatch, v[6]::BIGINT gapopen,

@@ -8,29 +8,66 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+_HERE = "kinweave.shared.dir"
+
+
+def _base(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_HERE, None)
+    if base:
+        return base
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    base = "file://" + tempfile.mkdtemp(prefix="kinweave-")
+    spark.conf.set(_HERE, base)
+    return base
+
+
+def _folder(spark: SparkSession, path: str):
+    """(Hadoop's file system of ``path``, the path in it)."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables, below the folder that all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset (tests
-    on one machine) a temporary folder is made and kept in the session's settings.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset, a session on
+    one machine (master ``local``) gets a temporary folder; any other session is refused. The
+    new folder goes when the session's JVM ends, if nothing removed it before.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("kinweave.shared.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="kinweave-")
-        spark.conf.set("kinweave.shared.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{_base(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    store, place = _folder(spark, path)
+    store.deleteOnExit(place)
+    return path
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written reliably to the shared folder, its lineage cut."""
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder of ``shared_dir`` that no result reads any more."""
+    store, place = _folder(spark, path)
+    store.delete(place, True)
+
+
+def checkpointed(df: DataFrame, *spent: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read from there, its lineage cut.
+
+    ``spent``: results of earlier calls that only ``df`` was made of, as in the rounds of a
+    loop; their folders are removed once ``df`` is written."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(shared_dir(spark, "checkpoint"))
-    return df.checkpoint()
+    path = shared_dir(spark, "stage")
+    df.write.option("compression", "zstd").parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._kinweave_path = path
+    release(*spent)
+    return written
+
+
+def release(*written: DataFrame) -> None:
+    """Removes the folders of results of ``checkpointed``."""
+    for df in written:
+        path = getattr(df, "_kinweave_path", None)
+        if path:
+            remove(df.sparkSession, path)
 
 
 def width(spark: SparkSession) -> int:

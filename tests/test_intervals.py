@@ -45,6 +45,19 @@ def test_against_brute_force_with_hot_pairs_cut_into_blocks(spark):
     check(spark, rows)
 
 
+def test_an_outlier_start_leaves_a_hot_entity_in_many_blocks(spark):
+    draw = random.Random(8)
+    rows = [("q", "s", at, at + draw.randrange(3), "x", "y") for at in (draw.randrange(5000) for _ in range(2000))]
+    rows += [("q", "s", -(10**9), -(10**9) + 5, "x", "y")] + [("r", str(i), i, i, "x", "y") for i in range(600)]
+    spans, hot = intervals._spans(spark.createDataFrame(rows, SCHEMA), {k: F.col(k) for k in "ab"}, F.col("s"), F.col("e"), 1 / 400)
+    sizes = [r["count"] for r in spans.where("a = 'q'").groupBy("_block").count().collect()]
+    assert len(hot) == 1 and len(sizes) > 200 and max(sizes) < 0.02 * sum(sizes)
+    keys = {k: F.col(k) for k in "ab"}
+    cover = {x for a, _, s, e, *_ in rows if a == "q" for x in range(s, e + 1)}
+    found = {(r.period_start, r.period_end) for r in intervals.periods(spark.createDataFrame(rows, SCHEMA), keys, F.col("s"), F.col("e")).where("a = 'q'").collect()}
+    assert found == {(x, next(y for y in range(x, x + 10**6) if y + 1 not in cover)) for x in cover if x - 1 not in cover}
+
+
 def test_nulls_touching_reversed_nested(spark):
     rows = [
         ("p", "q", 1, 5, None, None), ("p", "q", 10, 6, None, None), ("p", "q", 12, 20, None, None), ("p", "q", 14, 15, None, None),

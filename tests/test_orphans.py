@@ -48,6 +48,14 @@ def test_validity_against_brute_force_with_hot_keys(spark):
     assert {row for _, row, _, kind, _ in found(out) if kind == "direct"} == want
 
 
+def test_a_parent_row_without_a_start_is_never_valid(spark):
+    genes = spark.createDataFrame([("a", None, None), ("b", T0, None)], "id string, since timestamp, until timestamp")
+    records = spark.createDataFrame([(1, "a"), (2, "b")], "n bigint, id string")
+    tables = {"genes": Entity(genes, F.col("id"), F.col("since")), "records": Entity(records, F.col("n").cast("string"), F.lit(T0))}
+    out = cascade(tables, [Reference("records", "id", F.col("id"), "genes", F.col("id"), F.col("since"), F.col("until"))])
+    assert found(out) == {("records", "1", "id", "direct", 0)}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "id string")
     some = spark.createDataFrame([("a",), (None,)], "id string")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave.config import Cutoff, PairConfig
-from kinweave.functions.evalue import edge_score, repair_zero_exponents, score_text, split_evalue
+from kinweave.functions.evalue import edge_score, ordered_evalue, repair_zero_exponents, score_text, split_evalue
 from kinweave.operators import hsp, pairs
 from kinweave.schemas import SIMILARITY
 
@@ -145,3 +145,9 @@ def test_separate_runs(spark):
 def test_empty(spark):
     sim = spark.createDataFrame([], SIMILARITY)
     assert all(df.count() == 0 for df in pairs.build(sim, CFG).values())
+
+
+def test_zero_is_the_best_evalue(spark):
+    exp, mant = ordered_evalue(F.col("m"), F.col("e"))
+    df = spark.createDataFrame([(0.0, 0), (0.0, -7), (5.0, -200)], "m double, e int").select(exp.alias("a"), mant.alias("b"))
+    assert [tuple(r) for r in df.orderBy("a", "b").collect()] == [(-(2**31), 0.0), (-(2**31), 0.0), (-200, 5.0)]
