@@ -1,15 +1,23 @@
 """Evaluation passages that occur in a corpus, in whole or in part.
 
-Texts are read as words. Every window of ``WINDOW`` words, of items and of documents, is
-embedded by a random walk that copies the current word and moves on by a random bit of that
-word, which turns a small edit distance into a small Hamming distance. Some positions of
-the embedding are sampled and hashed; windows with an equal hash are candidates. Walks and
-samples are repeated until near windows meet with the target recall; equal windows always
-meet. Candidates are compared word by word with the edit distance.
-
-Items come to the tasks in blocks of bounded size, and every document meets every block, so
-nothing is shuffled. Defined results: null and empty texts, and those shorter than a window,
-leak nothing; repeated rows are reported once; equal items are items of their own.
+Texts are read as words. Items are cut into passages of ``WINDOW`` words, the least that counts
+as a leak; an item shorter than that can be one passage of its own size. A passage, and every
+window of a document of the same size, is embedded by a random walk that copies the current
+word and moves on by a random bit of that word, which turns a small edit distance into a small
+Hamming distance. Some positions of the embedding are sampled and hashed; windows with an equal
+hash are candidates. Walks and samples are repeated until near windows meet with the target
+recall; equal windows always meet, so that one repetition does for them. Candidates are compared
+word by word: the passage with the stretch of the document that begins there, whatever its end.
+
+The index of the items is a table of hashes. Documents are read once: a bitmap of the index, of
+bounded size, tells which windows can have a partner, and only these are joined with the index,
+by their hash, hot ones salted. Longer items need no larger windows: a copy of a long item with
+an edit in every sixth word still has a passage within two.
+
+Defined results: null and empty texts, and documents that lack more words of a window than
+edits are allowed, leak nothing;
+repeated rows are reported once; equal items are items of their own; passages of fewer than six
+words must be equal, those of fewer than twelve may differ by one edit.
 """
 
 from __future__ import annotations
@@ -18,7 +26,6 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,18 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm.common import spread
+from kinweave.operators.skew import salted_join
+from kinweave.session import checkpointed
 
 #: Words of a window: the least that counts as a leak.
 WINDOW = 12
-#: Steps of the walk that may be sampled, and how many are.
-STEPS, SAMPLED = 22, 5
-#: Measured share of windows one word apart that meet in one repetition (see tests/llm/test_leakage.py).
-MEET_ONE_EDIT = 0.4
-#: The same for two edits, of which a dropped or inserted word is one and the word moved in or out at the end the other.
-#: Measured at the places where the edits hurt most (two replaced words: 0.15; 0.25 over all places), less a margin.
-MEET_TWO_EDITS = 0.12
-#: Characters of item text that one block holds at most (longer single items are blocks of their own).
-BLOCK_CHARS = 8_000_000
+#: Shares of windows that meet in one repetition, at which the recall over all places of the edits is reached for
+#: the worst kind of edit (see tests/llm/test_leakage.py): one and two words replaced, inserted or dropped.
+MEET = {0: 1.0, 1: 0.28, 2: 0.085}
+#: Bits of the bitmap per row of the index, and at most.
+BITS_EACH, MOST_BITS = 32, 1 << 27
 #: Words that are embedded at a time, and known words kept in a task.
 CHUNK_WORDS, KNOWN_WORDS = 200_000, 500_000
 
@@ -50,20 +55,29 @@ def words(text: str | None) -> list[str]:
     """Folded words of a text: the order of the steps matters and follows the task's rule."""
     if not text:
         return []
-    text = unicodedata.normalize("NFKC", text).replace("\u00ad", "")
-    text = _HYPHEN.sub("", text)
-    text = _SQUARE.sub(" ", _ROUND.sub(" ", text))
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text).replace("\u00ad", "")
+    if "\n" in text:
+        text = _HYPHEN.sub("", text)
+    if "(" in text:
+        text = _ROUND.sub(" ", text)
+    if "[" in text:
+        text = _SQUARE.sub(" ", text)
     if not text.isascii():
         text = "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
     return _WORD.findall(text.lower().replace("'", "").replace("’", ""))
 
 
+def allowed(size: int, edits: int) -> int:
+    """Edits that a passage of ``size`` words may have: one for every six words at most."""
+    return min(edits, size // 6)
+
+
 def repeats(recall: float, edits: int) -> int:
     """Repetitions so that windows ``edits`` words apart meet with probability ``recall``."""
-    if edits > 2:
+    if edits not in MEET:
         raise ValueError("meeting rates are measured up to two edits")
-    meet = MEET_TWO_EDITS if edits == 2 else MEET_ONE_EDIT
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
+    return 1 if not edits else max(1, math.ceil(math.log(1 - recall) / math.log(1 - MEET[edits])))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -73,23 +87,25 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Walks:
-    """The random walks and samples of all repetitions, the same in every task."""
+    """The random walks and samples of all repetitions for windows of one size, the same in every task."""
 
-    def __init__(self, count: int, seed: int = 7) -> None:
-        draw = np.random.default_rng(seed)
+    def __init__(self, count: int, size: int = WINDOW, seed: int = 7) -> None:
+        draw = np.random.default_rng([seed, size])
+        steps, sampled = round(size * 22 / 12), 5 if size >= 12 else 4 if size >= 9 else min(3, size)
+        self.size = size
         self.masks = draw.integers(1, 2**63, count).astype(np.uint64)
-        self.samples = [sorted(draw.choice(STEPS, SAMPLED, replace=False).tolist()) for _ in range(count)]
+        self.samples = [sorted(draw.choice(steps, sampled, replace=False).tolist()) for _ in range(count)]
 
     def keys(self, hashes: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
         """Per repetition, the sampled hash of the window at each start."""
         with np.errstate(over="ignore"):
             for r, (mask, sample) in enumerate(zip(self.masks, self.samples, strict=True)):
                 bits = _mix(hashes ^ mask)
-                at, end = starts.copy(), starts + WINDOW
+                at, end = starts.copy(), starts + self.size
                 key = np.full(len(starts), mask, np.uint64)
                 for step in range(sample[-1] + 1):
                     here = np.minimum(at, len(hashes) - 1)
-                    inside = at < end if step >= WINDOW else None
+                    inside = at < end if step >= self.size else None
                     if step in sample:
                         symbol = hashes[here]
                         if inside is not None:
@@ -98,7 +114,7 @@ class Walks:
                         key ^= key >> np.uint64(29)
                     move = ((bits[here] >> np.uint64(step)) & np.uint64(1)).astype(at.dtype)
                     at += move if inside is None else move * inside
-                yield _mix(key + np.uint64(r))
+                yield _mix(key + np.uint64(r)).view(np.int64)
 
 
 class Hasher:
@@ -122,138 +138,158 @@ class Hasher:
         return out
 
 
-def _window_starts(lengths: list[int]) -> np.ndarray:
-    """Starts of all windows that lie within one text, the texts standing end to end."""
+def _window_starts(lengths: list[int], size: int = WINDOW, beyond: int = 0, gap: int = 0) -> np.ndarray:
+    """Starts of all windows that lie within one text, the texts standing end to end with ``gap``
+    words between; the last ``beyond`` words of a window may lie in the gap."""
     begin, parts = 0, []
     for n in lengths:
-        if n >= WINDOW:
-            parts.append(np.arange(begin, begin + n - WINDOW + 1, dtype=np.int64))
-        begin += n
+        if n and n + beyond >= size:
+            parts.append(np.arange(begin, begin + n + beyond - size + 1, dtype=np.int64))
+        begin += n + gap
     return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
-def edit_distance(a: list[str], b: list[str], most: int) -> int:
-    """Word edit distance of two windows; ``most + 1`` if it is above ``most``."""
-    if a == b:
+def stretch_distance(passage: list[str], stretch: list[str], most: int) -> int:
+    """Word edits between the passage and the beginning of the stretch, wherever it may end;
+    ``most + 1`` if more than ``most``."""
+    if stretch[: len(passage)] == passage:
         return 0
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
+    if not most or len(set(passage) - set(stretch)) > most:
+        return most + 1
+    row = list(range(len(stretch) + 1))
+    for i, x in enumerate(passage, 1):
         last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
+        for j, y in enumerate(stretch, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
         if min(row) > most:
             return most + 1
-    return min(row[-1], most + 1)
-
-
-class ItemBlock:
-    """Windows of a block of items, sorted by key for each repetition."""
-
-    def __init__(self, items: list[tuple[int, str]], walks: Walks) -> None:
-        self.walks = walks
-        texts = [words(t) for _, t in items]
-        self.tokens = [t for text in texts for t in text]
-        owner = np.repeat(np.array([i for i, _ in items], np.int64), [len(t) for t in texts])
-        hashes = Hasher()(self.tokens)
-        self.starts = _window_starts([len(t) for t in texts])
-        self.owners = owner[self.starts]
-        self.total = dict(zip(*(x.tolist() for x in np.unique(self.owners, return_counts=True)), strict=True))
-        self.tables = []
-        for keys in walks.keys(hashes, self.starts) if len(self.starts) else ():
-            order = np.argsort(keys, kind="stable")
-            self.tables.append((keys[order], order))
-
-    def candidates(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Distinct (index of a document window, index of an item window) with an equal key."""
-        pairs = []
-        for (keys, order), own in zip(self.tables, self.walks.keys(hashes, starts), strict=True):
-            low = np.searchsorted(keys, own)
-            hit = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == own)
-            high = np.searchsorted(keys, own[hit], "right")
-            count = high - low[hit]
-            which = np.repeat(hit, count)
-            offset = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-            pairs.append(which * len(self.starts) + order[np.repeat(low[hit], count) + offset])
-        found = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
-        return np.stack(np.divmod(found, max(1, len(self.starts))), 1)
-
-    def verified(self, ids: list[int], texts: list[list[str]], hasher: Hasher, edits: int) -> Iterator[tuple]:
-        """(doc id, item id, equal windows, near windows, item windows met, item windows)."""
-        if not len(self.starts):
-            return
-        tokens = [t for text in texts for t in text]
-        lengths = [len(t) for t in texts]
-        starts = _window_starts(lengths)
-        if not len(starts):
-            return
-        doc_of = np.repeat(np.arange(len(texts)), lengths)[starts]
-        found: dict[tuple[int, int], tuple[set, set, set]] = {}
-        judged: dict[tuple, int] = {}
-        for w, x in self.candidates(hasher(tokens), starts).tolist():
-            own = tokens[starts[w] : starts[w] + WINDOW]
-            other = self.tokens[self.starts[x] : self.starts[x] + WINDOW]
-            if own == other:
-                distance = 0
-            elif not edits:
+    return min(min(row), most + 1)
+
+
+def passages(items: DataFrame, short: bool) -> DataFrame:
+    """(item_id, at, size, passage) of every passage; ``short``: of items below a window too."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for item, text in zip(batch["item_id"].tolist(), batch["text"].tolist(), strict=True):
+                w = words(text)
+                size = min(WINDOW, len(w)) if short else WINDOW
+                for begin in range(0, len(w) - size + 1, CHUNK_WORDS) if size else ():
+                    at = range(begin, min(begin + CHUNK_WORDS, len(w) - size + 1))
+                    yield pd.DataFrame({"item_id": item, "at": list(at), "size": size, "passage": [" ".join(w[i : i + size]) for i in at]})
+
+    whole = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct()
+    return whole.mapInPandas(cut, "item_id bigint, at int, size int, passage string")
+
+
+def _index(found: DataFrame, walks: dict[int, Walks]) -> DataFrame:
+    """(key, size, passage) of every distinct passage and repetition."""
+
+    def embed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher = Hasher()
+        for batch in batches:
+            for size, part in batch.groupby("size"):
+                hashes = hasher([t for p in part["passage"] for t in p.split(" ")])
+                for keys in walks[size].keys(hashes, np.arange(len(part), dtype=np.int64) * size):
+                    yield pd.DataFrame({"key": keys, "size": size, "passage": part["passage"].to_numpy()})
+
+    return found.select("size", "passage").distinct().mapInPandas(embed, "key bigint, size int, passage string")
+
+
+def _bitmap(index: DataFrame) -> np.ndarray:
+    """The bits that the keys of the index set, made on Spark, at most MOST_BITS of them."""
+    count = index.count()
+    bits = min(MOST_BITS, 1 << max(15, math.ceil(math.log2(max(1, count) * BITS_EACH))))
+    place = F.pmod("key", F.lit(bits)) + 1
+    rows = index.groupBy((F.bitmap_bucket_number(place) - 1).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in rows:  # of 4 KB each
+        out[r.b * 4096 : (r.b + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def _met(corpus: DataFrame, index: DataFrame, walks: dict[int, Walks], edits: int) -> DataFrame:
+    """(doc_id, size, stretch, keys) of the windows of documents that can have a partner in the index."""
+    shared = corpus.sparkSession.sparkContext.broadcast(_bitmap(index))  # at most 16 MB
+
+    def met(ids: list[int], texts: list[list[str]], hasher: Hasher, bitmap: np.ndarray) -> Iterator[tuple]:
+        gap = [""] * edits  # words may be missing where a document ends
+        tokens, lengths = [t for text in texts for t in (*text, *gap)], [len(t) for t in texts]
+        hashes, ends = hasher(tokens), np.cumsum(np.array(lengths, np.int64) + edits) - edits
+        for size, walk in walks.items():
+            starts = _window_starts(lengths, size, allowed(size, edits), edits)
+            if not len(starts):
                 continue
-            else:
-                pair = (tuple(own), tuple(other))
-                if (distance := judged.get(pair, -1)) < 0:
-                    distance = judged[pair] = edit_distance(own, other, edits)
-                if distance > edits:
-                    continue
-            equal, near, met = found.setdefault((int(doc_of[w]), int(self.owners[x])), (set(), set(), set()))
-            (near if distance else equal).add(w)
-            met.add(x)
-        for (d, item), (equal, near, met) in found.items():
-            yield ids[d], item, len(equal), len(near - equal), len(met), self.total[item]
-
-
-def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    block, size = [], 0
-    for row in items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct().toLocalIterator():
-        if block and size + len(row.text) > BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-        block.append((row.item_id, row.text))
-        size += len(row.text)
-    if block:
-        yield block
-
-
-def leaks(documents: DataFrame, items: DataFrame, edits: int = 0, recall: float = 0.9) -> DataFrame:
+            found: dict[int, list[int]] = {}
+            for keys in walk.keys(hashes, starts):
+                place = keys & (len(bitmap) * 8 - 1)
+                for w in np.flatnonzero((bitmap[place >> 3] >> (place & 7)) & 1).tolist():
+                    found.setdefault(w, []).append(int(keys[w]))
+            more, seen = allowed(size, edits), {}
+            for w, keys in found.items():
+                at = int(starts[w])
+                doc = int(np.searchsorted(ends + edits, at, "right"))
+                stretch = " ".join(tokens[at : min(at + size + more, int(ends[doc]))])
+                seen.setdefault((ids[doc], stretch), set()).update(keys)
+            for (doc, stretch), keys in seen.items():
+                yield doc, size, stretch, list(keys)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher, bitmap = Hasher(), shared.value
+        for batch in batches:
+            ids, texts, held, rows = [], [], 0, []
+            for doc, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
+                ids.append(doc)
+                texts.append(words(text))
+                held += len(texts[-1])
+                if held > CHUNK_WORDS:
+                    rows += met(ids, texts, hasher, bitmap)
+                    ids, texts, held = [], [], 0
+            rows += met(ids, texts, hasher, bitmap)
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc_id", "size", "stretch", "keys"])
+
+    return corpus.mapInPandas(scan, "doc_id bigint, size int, stretch string, keys array<bigint>")
+
+
+def _verified(candidates: DataFrame, edits: int) -> DataFrame:
+    """(stretch, passage, distance) of the candidates within the edits that their size allows."""
+
+    @F.pandas_udf("int")
+    def distance(passage: pd.Series, stretch: pd.Series) -> pd.Series:
+        pairs = ((p.split(" "), s.split(" ")) for p, s in zip(passage, stretch, strict=True))
+        return pd.Series([stretch_distance(p, s, allowed(len(p), edits)) for p, s in pairs], dtype="int32")
+
+    if not edits:
+        return candidates.where("stretch = passage").select("stretch", "passage", F.lit(0).alias("distance"))
+    judged = candidates.withColumn("distance", distance("passage", "stretch"))
+    return judged.where(F.col("distance") <= F.least(F.lit(edits), F.floor(F.col("size") / 6))).select("stretch", "passage", "distance")
+
+
+def leaks(documents: DataFrame, items: DataFrame, edits: int = 0, recall: float = 0.9, short: bool = False) -> DataFrame:
     """Documents and the items that leaked into them.
 
-    documents: doc_id, text; items: item_id, text. A pair is reported if some window of the
-    document is at most ``edits`` word edits from a window of the item. ``recall`` is the
-    share of windows ``edits`` apart that shall meet; equal windows all do.
-    Columns: doc_id, item_id, equal_windows, near_windows, item_windows_met, item_windows."""
+    documents: doc_id, text; items: item_id, text. A pair is reported if the document holds a
+    stretch at most ``edits`` word edits from a passage of the item. ``recall`` is the share of
+    stretches ``edits`` apart that shall meet; equal ones all do. ``short``: items below a window
+    count too, each being one passage.
+    Columns: doc_id, item_id, equal_windows and near_windows (different stretches of the document),
+    item_windows_met, item_windows."""
     spark = documents.sparkSession
-    schema = "doc_id bigint, item_id bigint, equal_windows int, near_windows int, item_windows_met int, item_windows int"
-    walks = Walks(repeats(recall, edits))
-    corpus = spread(documents.where("doc_id IS NOT NULL AND text <> ''").select("doc_id", "text"))
-    passes = []
-    for items_of_block in _blocks(items):
-        shared = spark.sparkContext.broadcast(ItemBlock(items_of_block, walks))
-
-        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            block, hasher = shared.value, Hasher()
-            for batch in batches:
-                ids, texts, size, rows = [], [], 0, []
-                for doc, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
-                    ids.append(doc)
-                    texts.append(words(text))
-                    size += len(texts[-1])
-                    if size > CHUNK_WORDS:
-                        rows += block.verified(ids, texts, hasher, edits)
-                        ids, texts, size = [], [], 0
-                rows += block.verified(ids, texts, hasher, edits)
-                if rows:
-                    yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-
-        passes.append(corpus.mapInPandas(scan, schema))
-    if not passes:
+    found = checkpointed(passages(items, short))
+    sizes = sorted(r.size for r in found.select("size").distinct().collect())  # at most WINDOW
+    if not sizes:
+        schema = "doc_id bigint, item_id bigint, equal_windows bigint, near_windows bigint, item_windows_met bigint, item_windows bigint"
         return spark.createDataFrame([], schema)
-    found = reduce(DataFrame.unionByName, passes)
-    sizes = [c for c in found.columns if c not in ("doc_id", "item_id")]
-    return found.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in sizes])
+    walks = {size: Walks(repeats(recall, allowed(size, edits)), size) for size in sizes}
+    index = checkpointed(_index(found, walks))
+    corpus = spread(documents.where("doc_id IS NOT NULL AND text <> ''").select("doc_id", "text"))
+    met = checkpointed(_met(corpus, index, walks, edits))
+    asked = met.select("size", "stretch", F.explode("keys").alias("key")).distinct()
+    candidates = salted_join(asked, index, ["key", "size"]).select("size", "stretch", "passage").distinct()
+    near = checkpointed(_verified(candidates, edits))
+    held = salted_join(met.select("doc_id", "stretch"), near, ["stretch"])
+    rows = held.join(found.select("item_id", "at", "passage"), "passage")
+    equal = F.count_distinct(F.when(F.col("distance") == 0, F.col("stretch")))
+    pairs = rows.groupBy("doc_id", "item_id").agg(equal.cast("bigint").alias("equal_windows"), (F.count_distinct("stretch") - equal).alias("near_windows"), F.count_distinct("at").alias("item_windows_met"))
+    return pairs.join(found.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows")), "item_id").select("doc_id", "item_id", "equal_windows", "near_windows", "item_windows_met", "item_windows")

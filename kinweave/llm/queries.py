@@ -28,7 +28,7 @@ def p3_hits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _leaks(spark: SparkSession, d: str, edits: int) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_passages"), edits)
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_passages"), edits, short=edits > 0)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -36,7 +36,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_leaks(spark: SparkSession, d: str) -> DataFrame:
-    """Also windows up to two word edits away, with the part of the item that was met."""
+    """Also stretches up to two word edits away, and items below a window; with the part of the item that was met."""
     found = _leaks(spark, d, 2)
     return found.select("doc_id", "item_id", "equal_windows", "near_windows", (F.col("item_windows_met") / F.col("item_windows")).alias("covered"))
 
