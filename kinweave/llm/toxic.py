@@ -6,26 +6,33 @@ undone, and the four-letter pieces of the longer ones. A factorization machine l
 labelled documents a weight per term and an inner product per pair of terms, so that an
 insult next to a person counts for more than either, and next to words of reporting for less.
 
-A document's label says nothing about which of its units it is due to. So the machine is fitted
-in rounds, on two halves of the labelled documents in turn: the machine of one half picks, in
-each positive document of the other half, the unit it holds worst. These units and all units of
-negative documents are what the next round and, last, the final machine learn from.
+A document's label says nothing about which of its units it is due to. So a machine is fitted to
+each of two halves of the labelled documents; the machine of one half picks, in each positive
+document of the other half, the unit it holds worst. These units and all units of negative
+documents are what the final machine learns from.
 
 Labels are the majority of the annotators of a document; ties and null categories are left
 out. At most ``MAX_LABELLED`` labelled documents, chosen by the hash of their id, are used for
-fitting. Every unit of every document is scored; a document's score is that of its worst unit.
-Defined results: empty and null texts score 0; without labels of both kinds, all score 0.
+fitting. Every unit of every document is scored, in one pass over the corpus that shuffles
+nothing; a document's score is that of its worst unit. Defined results: empty and null texts, and
+those without a letter, score 0; without labels of both kinds, all score 0.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import FMClassificationModel, FMClassifier
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm.common import spread
+from kinweave.session import checkpointed
 
 #: Labelled documents used for fitting, at most.
 MAX_LABELLED = 10_000
@@ -35,51 +42,81 @@ POSITIVE_WEIGHT = 3
 TERMS, FACTORS = 1 << 14, 6
 #: A document from this score on is one to review.
 REVIEW = 0.5
-#: Characters of a unit; longer ones are cut, and each piece is scored.
-UNIT_CHARS = 1500
+#: Words whose terms a task remembers, and texts that it scores at a time.
+KNOWN_WORDS, TEXTS = 200_000, 500
+
+_LETTER = r"[^\W\d_]"
+_INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+_BROKEN = re.compile(rf"({_LETTER})-[ \t]*\r?\n[ \t]*({_LETTER})")
+_MASKED = re.compile(rf"(?<={_LETTER})\*{{2,}}(?={_LETTER})")
+_INSIDE = re.compile(rf"(?<={_LETTER})[*_#|](?={_LETTER})")
+_SPELT = re.compile(rf"(?<=\b{_LETTER})[.\-_ ](?={_LETTER}(?:[.\-_ ]{_LETTER}\b|\b[.\-_ ]?(?!{_LETTER})))")
+_NUMBER = re.compile(r"(?<![^\W_])\d[\d.,]*(?![^\W_])")
+_DISGUISE = str.maketrans("@$0134", "asoiea")
+_BRACKETED = re.compile(r"[\[(]([^\[\]()]*)[\])]")
+_MARKED = re.compile(r"(?<!\S)([*/][^*/\n]{2,}[*/]|— [^—\n]{2,} —)(?=\s|$|[.,;:!?])")
+_SENTENCE = re.compile(r"(?<=[.!?])[\"”»’]*\s+|\s*…\s*")
+_TERM = re.compile(rf"{_LETTER}+|[“”«»\"]")
+_ANY = re.compile(_LETTER)
+
+
+def plain(text: str) -> str:
+    """Text with invisible characters, line breaks within words and letter disguises undone."""
+    if not text.isascii():
+        text = text.translate(_INVISIBLE)
+    if "\n" in text:
+        text = _BROKEN.sub(lambda m: m[1] + m[2] if m[2].islower() else m[0], text)
+    if "**" in text:
+        text = _MASKED.sub(" xmaskedx ", text)
+    return _NUMBER.sub("7", _SPELT.sub("", _INSIDE.sub("", text))).translate(_DISGUISE)
 
-_BRACKETED = r"[\[(]([^\[\]()]*)[\])]"
-_MARKED = r"(?<=^|\s)([*/][^*/\n]{2,160}[*/]|— [^—\n]{2,160} —)(?=\s|$|[.,;:!?])"
 
+def units(text: str | None) -> list[str]:
+    """The units of a text that hold a letter."""
+    if not text:
+        return []
+    host = plain(text)
+    inner = _BRACKETED.findall(host)
+    host = _BRACKETED.sub(" ", host)
+    inner += _MARKED.findall(host)
+    pieces = inner + re.split(r"\n\s*\n", _MARKED.sub(" ", host))
+    return [s for p in pieces for s in _SENTENCE.split(" ".join(p.split())) if _ANY.search(s)]
 
-def plain(text: Column) -> Column:
-    """Text with invisible characters, line breaks within words and letter disguises undone."""
-    text = F.regexp_replace(text, "[\u00ad\u200b-\u200d\u2060\ufeff]", "")
-    text = F.regexp_replace(text, r"(\p{L})-[ \t]*\r?\n[ \t]*(\p{Ll})", "$1$2")
-    text = F.regexp_replace(text, r"(\p{L})\*{2,}(\p{L})", "$1 xmaskedx $2")
-    text = F.regexp_replace(text, r"(?<=\p{L})[*_#|](?=\p{L})", "")
-    text = F.regexp_replace(text, r"(?<=\b\p{L})[.\-_ ](?=\p{L}(?:[.\-_ ]\p{L}\b|\b[.\-_ ]?(?![\p{L}])))", "")
-    text = F.regexp_replace(text, r"(?<![\p{L}\d])\d[\d.,]*(?![\p{L}\d])", "7")
-    return F.translate(text, "@$0134", "asoiea")
-
-
-def units(text: Column) -> Column:
-    """The array of units of a text."""
-    whole = plain(F.coalesce(text, F.lit("")))
-    inner = F.regexp_extract_all(whole, F.lit(_BRACKETED), F.lit(1))
-    host = F.regexp_replace(whole, _BRACKETED, " ")
-    marked = F.regexp_extract_all(host, F.lit(_MARKED), F.lit(1))
-    host = F.regexp_replace(host, _MARKED, " ")
-    pieces = F.concat(inner, marked, F.split(host, r"\n\s*\n"))
-    sentences = F.flatten(F.transform(pieces, lambda p: F.split(F.regexp_replace(p, r"\s+", " "), r"(?<=[.!?])[\"”»’]*\s+|\s*…\s*")))
-    cut = F.flatten(F.transform(sentences, lambda s: F.regexp_extract_all(s, F.lit(f"(?s).{{1,{UNIT_CHARS}}}"), F.lit(0))))
-    return F.filter(cut, lambda s: F.length(s) > 3)
-
-
-def terms(unit: Column) -> Column:
-    """Words of a unit, its quotation marks and the four-letter pieces of words of five letters or more."""
-    small = F.regexp_replace(F.lower(unit), "['’]", "")
-    found = F.regexp_extract_all(small, F.lit(r"\p{L}+|[“”«»\"]"), F.lit(0))
-    long = F.filter(found, lambda w: F.length(w) >= 5)
-    pieces = F.flatten(F.transform(long, lambda w: F.transform(F.sequence(F.lit(1), F.least(F.length(w), F.lit(24)) - 3), lambda i: F.concat(F.lit("#"), F.substr(w, i, F.lit(4))))))
-    return F.array_distinct(F.concat(found, pieces))
-
-
-def unit_features(documents: DataFrame, *more: str) -> DataFrame:
-    """(doc_id, more..., n, unit, features), a row for each unit, n being its place."""
-    exploded = documents.select("doc_id", *more, F.posexplode(units(F.col("text"))).alias("n", "unit"))
-    hashing = HashingTF(inputCol="terms", outputCol="features", numFeatures=TERMS, binary=True)
-    return hashing.transform(exploded.withColumn("terms", terms(F.col("unit")))).drop("terms")
+
+class Terms:
+    """Numbers of the hashed terms of units; those of a word are remembered up to a bound."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, list[int]] = {}
+
+    def word(self, w: str) -> list[int]:
+        import xxhash
+
+        found = self.known.get(w)
+        if found is None:
+            if len(self.known) > KNOWN_WORDS:
+                self.known.clear()
+            pieces = {"#" + w[i : i + 4] for i in range(len(w) - 3)} if len(w) >= 5 else ()
+            found = self.known[w] = [xxhash.xxh32_intdigest(t) % TERMS for t in (w, *pieces)]
+        return found
+
+    def __call__(self, unit: str) -> list[int]:
+        """Terms of a unit: its words, quotation marks and four-letter pieces of words of five letters or more."""
+        small = unit.lower().replace("'", "").replace("’", "")
+        return [t for w in dict.fromkeys(_TERM.findall(small)) for t in self.word(w)]
+
+
+def unit_terms(documents: DataFrame) -> DataFrame:
+    """(doc_id, label, n, terms), a row for each unit, n being its place; terms as text for the vocabulary."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = Terms()
+        for batch in batches:
+            rows = [(i, label, n, [str(t) for t in sorted(set(hashed(u)))]) for i, label, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "label", "text")), strict=True) for n, u in enumerate(units(text))]
+            columns = zip(*rows, strict=True) if rows else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.float64(), pa.int32(), pa.list_(pa.string())), strict=True)], ["doc_id", "label", "n", "terms"])
+
+    return documents.select("doc_id", "label", "text").mapInArrow(read, "doc_id bigint, label double, n int, terms array<string>")
 
 
 def majority(labels: DataFrame) -> DataFrame:
@@ -92,40 +129,46 @@ def _machine(iterations: int) -> FMClassifier:
     return FMClassifier(featuresCol="features", labelCol="label", factorSize=FACTORS, maxIter=iterations, stepSize=0.05, regParam=1e-6, initStd=0.03, tol=1e-5, solver="adamW", seed=11)
 
 
-def _likely(model: FMClassificationModel, features: DataFrame) -> DataFrame:
-    return model.transform(features).withColumn("p", vector_to_array("probability")[1])
-
-
-def _worst_units(rows: DataFrame, training: DataFrame, iterations: int) -> DataFrame:
+def _worst_units(rows: DataFrame, iterations: int) -> DataFrame:
     """``rows`` with the units of positive documents reduced to the worst one of each, as judged
-    by a machine fitted to the ``training`` rows of the other half of the documents."""
+    by a machine fitted to the rows of the other half of the documents."""
     judged = []
     for half in (0, 1):
-        other = training.where(F.col("half") != half).select("label", "features")
-        if len({r.label for r in other.select("label").distinct().collect()}) < 2:
-            return rows
-        judged.append(_likely(_machine(iterations).fit(other), rows.where((F.col("half") == half) & (F.col("label") == 1))))
-    worst = judged[0].unionByName(judged[1]).groupBy("doc_id").agg(F.max_by("n", "p").alias("n"), F.max("p").alias("p"))
-    picked = rows.join(F.broadcast(worst.select("doc_id", "n")), ["doc_id", "n"], "left_semi")  # bounded by MAX_LABELLED
+        model = _machine(iterations).fit(rows.where(F.col("half") != half).select("label", "features"))
+        own = model.transform(rows.where((F.col("half") == half) & (F.col("label") == 1)))
+        judged.append(own.select("doc_id", "n", vector_to_array("probability")[1].alias("p")))
+    worst = judged[0].unionByName(judged[1]).groupBy("doc_id").agg(F.max_by("n", F.struct("p", "n")).alias("n"))
+    picked = rows.join(F.broadcast(worst), ["doc_id", "n"], "left_semi")  # bounded by MAX_LABELLED
     return rows.where("label = 0").unionByName(picked)
 
 
 def fit(documents: DataFrame, labels: DataFrame, iterations: int = 80) -> FMClassificationModel | None:
     """The machine, or None where the labels do not have both kinds."""
+    spark = documents.sparkSession
     sample = majority(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     chosen = documents.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")  # bounded by MAX_LABELLED
+    parts = min(4, spark.sparkContext.defaultParallelism)
+    written = checkpointed(unit_terms(chosen))
+    vocabulary = CountVectorizerModel.from_vocabulary([str(i) for i in range(TERMS)], "terms", "features")
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half")
-    rows = unit_features(chosen, "label").select("doc_id", "n", "label", half, "features").persist()
-    if len({r.label for r in rows.select("label").distinct().collect()}) < 2:
-        return None
-    first = _worst_units(rows, rows, iterations // 2)
-    second = _worst_units(rows, first, iterations // 2)
-    third = _worst_units(rows, second, iterations // 2).select("label", "features").persist()
+    rows = vocabulary.setBinary(True).transform(written.coalesce(parts)).select("doc_id", "n", "label", half, "features")
+    if written.groupBy(half).agg(F.count_distinct("label").alias("k")).where("k = 2").count() < 2:  # a half has one kind only
+        return _machine(iterations).fit(rows.select("label", "features")) if written.agg(F.count_distinct("label")).first()[0] == 2 else None
+    picked = _worst_units(rows, iterations // 2)
     copies = F.explode(F.sequence(F.lit(1), F.when(F.col("label") == 1, POSITIVE_WEIGHT).otherwise(1)))
-    model = _machine(iterations).fit(third.withColumn("_copy", copies).drop("_copy"))
-    third.unpersist()
-    rows.unpersist()
-    return model
+    return _machine(iterations).fit(picked.select("label", "features", copies.alias("_copy")).drop("_copy").coalesce(parts))
+
+
+def worst(numbers: list[list[int]], intercept: float, linear: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """What the machine says of each unit, given as its terms: the probability that it is positive."""
+    owner = np.repeat(np.arange(len(numbers), dtype=np.int64), [len(x) for x in numbers])
+    cells = np.unique(owner * TERMS + np.fromiter((t for x in numbers for t in x), np.int64, len(owner)))  # a term counts once
+    owner, term = np.divmod(cells, TERMS)
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    own = factors[term]
+    total = np.add.reduceat(own, starts)
+    pairs = 0.5 * ((total * total).sum(1) - np.add.reduceat((own * own).sum(1), starts))
+    return 1 / (1 + np.exp(-np.clip(intercept + np.add.reduceat(linear[term], starts) + pairs, -700, 700)))
 
 
 def scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -134,9 +177,20 @@ def scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(corpus, labels)
     if model is None:
         return corpus.select("doc_id", "source", F.lit(0.0).alias("score"))
-    p = F.max("p")
-    judged = _likely(model, unit_features(spread(corpus))).groupBy("doc_id").agg((p / (p + POSITIVE_WEIGHT * (1 - p))).alias("score"))
-    return corpus.select("doc_id", "source").join(judged, "doc_id", "left").select("doc_id", "source", F.coalesce("score", F.lit(0.0)).alias("score"))
+    shared = documents.sparkSession.sparkContext.broadcast((model.intercept, model.linear.toArray(), model.factors.toArray()))  # TERMS rows
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, hashed = shared.value, Terms()
+        for batch in batches:
+            out = np.zeros(batch.num_rows)
+            texts = batch["text"].to_pylist()
+            for begin in range(0, len(texts), TEXTS):
+                found = [(begin + i, terms) for i, text in enumerate(texts[begin : begin + TEXTS]) for u in units(text) if (terms := hashed(u))]
+                if found:
+                    np.maximum.at(out, [i for i, _ in found], worst([t for _, t in found], *machine))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["source"], pa.array(out / (out + POSITIVE_WEIGHT * (1 - out)))], ["doc_id", "source", "score"])
+
+    return spread(corpus).mapInArrow(judge, "doc_id bigint, source string, score double")
 
 
 def rates(scored: DataFrame) -> DataFrame:

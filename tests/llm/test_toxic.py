@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
 from kinweave.llm import toxic
@@ -50,10 +52,28 @@ def test_majority(spark):
     assert [tuple(r) for r in got.collect()] == [(2, 1.0)]
 
 
-def test_disguises_and_units(spark):
-    df = spark.createDataFrame([("Y0u $cumb@g, you a s s and i.d.i.o.t!",), ("scum­bag tem-\nporary c****n P*IG",), ("One. (Two! [Three]) /four five/ Six?",), (None,)], "t string")
-    plain = [r[0] for r in df.where("t IS NOT NULL").select(toxic.plain(F.col("t"))).collect()]
+def test_disguises_and_units():
+    texts = ["Y0u $cumb@g, you a s s and i.d.i.o.t!", "scum­bag tem-\nporary c****n P*IG", "One. (Two! [Three]) /four five/ Six? (Pig) 17.", None, " 12 ... !"]
+    plain = [toxic.plain(t) for t in texts[:2]]
     assert "scumbag" in plain[0] and "ass" in plain[0] and "idiot" in plain[0]
     assert "scumbag temporary" in plain[1] and "xmaskedx" in plain[1] and "PIG" in plain[1]
-    units = [r[0] for r in df.select(toxic.units(F.col("t"))).collect()]
-    assert units[3] == [] and any("Three" in u for u in units[2]) and any("four five" in u for u in units[2])
+    units = [toxic.units(t) for t in texts]
+    assert units[3] == units[4] == [] and {"Three", "/four five/", "One.", "Pig"} <= set(units[2])
+    aside = "/" + "so long an aside " * 20 + "fool/"
+    assert aside in toxic.units("One " + aside + " two.")
+
+
+def test_pieces_of_the_whole_word():
+    hashed = toxic.Terms()
+    assert set(hashed("quatschkopfregierungsbankschwein")) > set(hashed("schwein")) - set(hashed.word("schwein")[:1])
+    assert len(hashed("toad toad TOAD")) == 1
+
+
+def test_scoring_in_tasks_equals_the_model(spark):
+    docs, labels = corpus(spark, 60, 5)
+    model = toxic.fit(docs, labels, 10)
+    rows = toxic.unit_terms(docs.where("doc_id < 60").withColumn("label", F.lit(0.0)))
+    vocabulary = CountVectorizerModel.from_vocabulary([str(i) for i in range(toxic.TERMS)], "terms", "features").setBinary(True)
+    want = [(r.terms, r.probability[1]) for r in model.transform(vocabulary.transform(rows)).select("terms", "probability").collect()]
+    got = toxic.worst([[int(t) for t in terms] * 2 for terms, _ in want], model.intercept, model.linear.toArray(), model.factors.toArray())
+    assert len(want) > 100 and abs(got - np.array([p for _, p in want])).max() < 1e-9
