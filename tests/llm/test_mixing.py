@@ -20,8 +20,9 @@ def corpus(spark, sizes, unknown=0, seed=1):
 
 
 def outcome(spark, docs, targets):
-    chosen, wanted, goal = mixing.mix(docs, spark.createDataFrame(targets, TARGETS))
-    shares = {r.source: r for r in mixing.shares(chosen, wanted, goal).collect()}
+    chosen, wanted, goal, miss = mixing.mix(docs, spark.createDataFrame(targets, TARGETS))
+    shares = {r.source: r for r in mixing.shares(chosen, wanted, goal, miss).collect()}
+    assert all(r.fit_miss == miss for r in shares.values()) and miss < 0.001
     return chosen.collect(), shares
 
 
@@ -36,8 +37,9 @@ def test_shares_and_repeats(spark):
 
 def test_posteriors_find_the_source(spark):
     docs = corpus(spark, {"a": 80, "b": 80, "c": 80}, 10)
-    members, _ = mixing.memberships(docs, [], tokens.TOKENIZER)
+    members, _ = mixing.memberships(docs, tokens.TOKENIZER)
     guessed = {r.doc_id: r.source for r in members.where("NOT known").collect()}
+    assert all(len(r.parts) == 3 and abs(sum(r.parts) - 1) < 1e-9 for r in members.collect())
     truth = {r.doc_id: next(s for s, w in WORDS.items() if r.text.split()[0] in w) for r in docs.where("source IS NULL AND text <> ''").collect()}
     assert sum(guessed[d] == s for d, s in truth.items()) >= 0.95 * len(truth)
 
@@ -61,7 +63,21 @@ def test_token_counts():
 
     assert tokens.count(None) == tokens.count("") == 0
     text = "The Member for Quilleskin, l'eau, 1234 äöü <|endoftext|>"
-    encode = tokens._encoding(tokens.TOKENIZER).encode_ordinary
-    assert tokens.count(text) == len(encode(text)) and isinstance(tokens._encoding(tokens.TOKENIZER), tiktoken.Encoding)
-    assert tokens._encoding(tokens.TOKENIZER).decode(encode(text)) == text
+    encoding, ranks = tokens._encoding(tokens.TOKENIZER)
+    encode = encoding.encode_ordinary
+    assert tokens.count(text) == len(encode(text)) and isinstance(encoding, tiktoken.Encoding)
+    assert encoding.decode(encode(text)) == text
     assert tokens.count("a b " + "x" * 3_000_000 + " c") > 1000
+
+
+def test_token_counts_of_long_runs_are_the_tokenizers():
+    draw = random.Random(4)
+    encoding, ranks = tokens._encoding(tokens.TOKENIZER)
+    for letters in ("abcdefgh", "e", "äöüé", "thequickbrown", "._-", "0123456789", " ", "\n\t "):
+        for n in (5, 300, 5000):
+            run = "".join(draw.choice(letters) for _ in range(n))
+            assert tokens.merged(run.encode(), ranks) >= 1
+            text = f"Words before {run} and 'll after"
+            assert tokens.count(text) == len(encoding.encode_ordinary(text))
+            if letters[0].isalpha():
+                assert tokens.merged(run.encode(), ranks) == len(encoding.encode_ordinary(run))
