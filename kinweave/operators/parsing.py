@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.session import checkpointed
 from kinweave.tables import ID_PADDING
 
 #: Stands for a tab inside quotes while a line is split; a noncharacter, so never in a text.
@@ -113,13 +114,17 @@ def errors(cells: DataFrame, spark: SparkSession) -> DataFrame:
 
 
 def clean(cells: DataFrame, spark: SparkSession) -> DataFrame:
-    """Typed rows of the valid records. Counts beyond BIGINT become null."""
+    """Typed rows of the valid records. Counts beyond BIGINT are null in their column and stand in
+    ``beyond`` as ``column=digits``; it is empty for all others."""
+    cells = checkpointed(cells)  # judged and loaded, but split once
     valid = cells.join(errors(cells, spark).select("row"), "row", "left_anti")
-    typed = []
+    typed, beyond = [], []
     for pos, name, kind, _, _ in RULES:
         cell = F.get("cells", F.lit(pos))
         if kind == "evalue":
             cell = F.when(cell.rlike(_EXPONENT), F.concat(F.lit("1"), cell)).otherwise(cell)
         to = {"id": None, "digits": "bigint"}.get(kind, "double")
         typed.append((F.trim(cell, F.lit(ID_PADDING)) if to is None else cell.try_cast(to)).alias(name))
-    return valid.select("row", *typed)
+        if kind == "digits":
+            beyond.append(F.when(cell.try_cast(to).isNull(), F.concat(F.lit(name + "="), cell)))
+    return valid.select("row", *typed, F.concat_ws("; ", *beyond).alias("beyond"))

@@ -129,6 +129,8 @@ j AS (SELECT line_id, v, good AND len(v) = 12 AND trim(v[1], E' \t\r') <> '' AND
   AND regexp_matches(v[12], num) AND NOT coalesce(try_cast(v[12] AS DOUBLE) < 0, false) ok FROM c, n)
 """
 
+_COUNTS = ("length", "mismatch", "gapopen", "q_start", "q_end", "s_start", "s_end")
+
 _SPANS = f"""
 WITH u AS (SELECT {_bare("query_id")} query_id, {_bare("subject_id")} subject_id, unnest(spans) s FROM subject_accumulators),
 s AS (SELECT query_id, subject_id, least(s.span_start, s.span_end)::BIGINT a, greatest(s.span_start, s.span_end)::BIGINT b FROM u
@@ -153,8 +155,11 @@ SELECT r.q query_id, count(*) n_records, min(record_id) first_record, max(record
 FROM r JOIN x ON x.q = r.q LEFT JOIN b ON b.q = r.q AND b.k = 1 GROUP BY r.q""",
     "p4_found": _CELLS + "SELECT line_id FROM j WHERE NOT ok",
     "p4_hits": _CELLS
-    + r"""SELECT line_id, trim(v[1], E' \t\r') query_id, trim(v[2], E' \t\r') subject_id, v[3]::DOUBLE percent_identity, v[4]::BIGINT length, v[5]::BIGINT mismatch, v[6]::BIGINT gapopen,
-v[7]::BIGINT q_start, v[8]::BIGINT q_end, v[9]::BIGINT s_start, v[10]::BIGINT s_end, (CASE WHEN regexp_matches(v[11], '^[eE]') THEN '1' || v[11] ELSE v[11] END)::DOUBLE evalue, v[12]::DOUBLE bits FROM j WHERE ok""",
+    + r"""SELECT line_id, trim(v[1], E' \t\r') query_id, trim(v[2], E' \t\r') subject_id, v[3]::DOUBLE percent_identity, """
+    + ", ".join(f"try_cast(v[{i}] AS BIGINT) {n}" for i, n in enumerate(_COUNTS, 4))
+    + r""", (CASE WHEN regexp_matches(v[11], '^[eE]') THEN '1' || v[11] ELSE v[11] END)::DOUBLE evalue, v[12]::DOUBLE bits, concat_ws('; ', """
+    + ", ".join(f"CASE WHEN try_cast(v[{i}] AS BIGINT) IS NULL THEN '{n}=' || v[{i}] END" for i, n in enumerate(_COUNTS, 4))
+    + ") beyond FROM j WHERE ok",
     "p5_found": _SPANS + "SELECT DISTINCT query_id, subject_id, p + 1 gap_start, a - 1 gap_end FROM w WHERE a > p + 1",
     "p5_periods": _SPANS
     + """, g AS (SELECT *, sum(CASE WHEN p IS NULL OR a > p + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY query_id, subject_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) i FROM w)

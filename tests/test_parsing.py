@@ -36,7 +36,8 @@ def test_valid_broken_and_no_records(spark):
     assert clean[line(c10="e-30")].evalue == 1e-30
     assert clean[line(c0='"q\tx"')].query_id == "q\tx"
     assert clean[line(c0='"a ""b"" c"')].query_id == 'a "b" c'
-    assert clean[line(c3="9" * 40)].length is None
+    long = clean[line(c3="9" * 40)]
+    assert long.length is None and long.beyond == "length=" + "9" * 40 and clean[line()].beyond == ""
 
 
 def test_very_long_lines_and_empty_table(spark):
