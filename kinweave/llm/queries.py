@@ -42,7 +42,7 @@ def p6_leaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
-    chosen, _, _ = mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+    chosen, *_ = mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
     return chosen.select("doc_id", "source", "tokens", "repeats")
 
 

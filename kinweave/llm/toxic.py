@@ -46,13 +46,13 @@ REVIEW = 0.5
 KNOWN_WORDS, TEXTS = 200_000, 500
 
 _LETTER = r"[^\W\d_]"
-_INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+_INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 _BROKEN = re.compile(rf"({_LETTER})-[ \t]*\r?\n[ \t]*({_LETTER})")
 _MASKED = re.compile(rf"(?<={_LETTER})\*{{2,}}(?={_LETTER})")
 _INSIDE = re.compile(rf"(?<={_LETTER})[*_#|](?={_LETTER})")
 _SPELT = re.compile(rf"(?<=\b{_LETTER})[.\-_ ](?={_LETTER}(?:[.\-_ ]{_LETTER}\b|\b[.\-_ ]?(?!{_LETTER})))")
 _NUMBER = re.compile(r"(?<![^\W_])\d[\d.,]*(?![^\W_])")
-_DISGUISE = str.maketrans("@$0134", "asoiea")
+_DISGUISES = tuple(zip("@$0134", "asoiea", strict=True))
 _BRACKETED = re.compile(r"[\[(]([^\[\]()]*)[\])]")
 _MARKED = re.compile(r"(?<!\S)([*/][^*/\n]{2,}[*/]|— [^—\n]{2,} —)(?=\s|$|[.,;:!?])")
 _SENTENCE = re.compile(r"(?<=[.!?])[\"”»’]*\s+|\s*…\s*")
@@ -63,12 +63,18 @@ _ANY = re.compile(_LETTER)
 def plain(text: str) -> str:
     """Text with invisible characters, line breaks within words and letter disguises undone."""
     if not text.isascii():
-        text = text.translate(_INVISIBLE)
+        for c in _INVISIBLE:
+            text = text.replace(c, "")
     if "\n" in text:
         text = _BROKEN.sub(lambda m: m[1] + m[2] if m[2].islower() else m[0], text)
     if "**" in text:
         text = _MASKED.sub(" xmaskedx ", text)
-    return _NUMBER.sub("7", _SPELT.sub("", _INSIDE.sub("", text))).translate(_DISGUISE)
+    if "*" in text or "_" in text or "#" in text or "|" in text:
+        text = _INSIDE.sub("", text)
+    text = _NUMBER.sub("7", _SPELT.sub("", text))
+    for c, letter in _DISGUISES:
+        text = text.replace(c, letter)
+    return text
 
 
 def units(text: str | None) -> list[str]:
@@ -142,7 +148,7 @@ def _worst_units(rows: DataFrame, iterations: int) -> DataFrame:
     return rows.where("label = 0").unionByName(picked)
 
 
-def fit(documents: DataFrame, labels: DataFrame, iterations: int = 80) -> FMClassificationModel | None:
+def fit(documents: DataFrame, labels: DataFrame, iterations: int = 60) -> FMClassificationModel | None:
     """The machine, or None where the labels do not have both kinds."""
     spark = documents.sparkSession
     sample = majority(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
@@ -159,16 +165,22 @@ def fit(documents: DataFrame, labels: DataFrame, iterations: int = 80) -> FMClas
     return _machine(iterations).fit(picked.select("label", "features", copies.alias("_copy")).drop("_copy").coalesce(parts))
 
 
-def worst(numbers: list[list[int]], intercept: float, linear: np.ndarray, factors: np.ndarray) -> np.ndarray:
+def machine_table(model: FMClassificationModel) -> tuple[float, np.ndarray]:
+    """(intercept, a row per term): what the term adds on its own, less half the square of its factors;
+    and its factors. A unit's value is the sum of the first, plus half the square of the sum of the others."""
+    factors = model.factors.toArray()
+    return model.intercept, np.column_stack([model.linear.toArray() - 0.5 * (factors * factors).sum(1), factors])
+
+
+def worst(numbers: list[list[int]], intercept: float, table: np.ndarray) -> np.ndarray:
     """What the machine says of each unit, given as its terms: the probability that it is positive."""
-    owner = np.repeat(np.arange(len(numbers), dtype=np.int64), [len(x) for x in numbers])
-    cells = np.unique(owner * TERMS + np.fromiter((t for x in numbers for t in x), np.int64, len(owner)))  # a term counts once
+    owner = np.repeat(np.arange(len(numbers)), [len(x) for x in numbers])
+    cells = owner * TERMS + np.fromiter((t for x in numbers for t in x), np.int64, len(owner))
+    cells = np.unique(cells.astype(np.int32) if len(numbers) < 1 << 17 else cells)  # a term counts once
     owner, term = np.divmod(cells, TERMS)
-    starts = np.flatnonzero(np.diff(owner, prepend=-1))
-    own = factors[term]
-    total = np.add.reduceat(own, starts)
-    pairs = 0.5 * ((total * total).sum(1) - np.add.reduceat((own * own).sum(1), starts))
-    return 1 / (1 + np.exp(-np.clip(intercept + np.add.reduceat(linear[term], starts) + pairs, -700, 700)))
+    sums = np.add.reduceat(table[term], np.flatnonzero(np.diff(owner, prepend=-1)))
+    value = intercept + sums[:, 0] + 0.5 * (sums[:, 1:] ** 2).sum(1)
+    return 1 / (1 + np.exp(-np.clip(value, -700, 700)))
 
 
 def scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -177,7 +189,7 @@ def scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(corpus, labels)
     if model is None:
         return corpus.select("doc_id", "source", F.lit(0.0).alias("score"))
-    shared = documents.sparkSession.sparkContext.broadcast((model.intercept, model.linear.toArray(), model.factors.toArray()))  # TERMS rows
+    shared = documents.sparkSession.sparkContext.broadcast(machine_table(model))  # TERMS rows
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, hashed = shared.value, Terms()

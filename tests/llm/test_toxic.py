@@ -75,5 +75,5 @@ def test_scoring_in_tasks_equals_the_model(spark):
     rows = toxic.unit_terms(docs.where("doc_id < 60").withColumn("label", F.lit(0.0)))
     vocabulary = CountVectorizerModel.from_vocabulary([str(i) for i in range(toxic.TERMS)], "terms", "features").setBinary(True)
     want = [(r.terms, r.probability[1]) for r in model.transform(vocabulary.transform(rows)).select("terms", "probability").collect()]
-    got = toxic.worst([[int(t) for t in terms] * 2 for terms, _ in want], model.intercept, model.linear.toArray(), model.factors.toArray())
+    got = toxic.worst([[int(t) for t in terms] * 2 for terms, _ in want], *toxic.machine_table(model))
     assert len(want) > 100 and abs(got - np.array([p for _, p in want])).max() < 1e-9
