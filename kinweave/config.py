@@ -37,7 +37,11 @@ class PairConfig:
 
 @dataclass(frozen=True)
 class FlowConfig:
-    """Parameters of flow clustering: inflation and what a column keeps after expansion."""
+    """Parameters of flow clustering: inflation, what a column keeps after expansion, and the start.
+
+    ``initial_rounds`` are run with ``initial_inflation`` before the others; loops, the largest weight
+    of their node, are multiplied by ``loop_scale``; ``pre_inflation`` is applied to the start. After
+    ``most_rounds`` the state is taken as it is, with a warning where the distributed loop ran."""
 
     inflation: float = 1.5
     prune: int = 10_000
@@ -45,7 +49,15 @@ class FlowConfig:
     recover: int = 1_400
     mass: float = 0.9
     chaos: float = 1e-4
-    most_rounds: int = 100
+    most_rounds: int = 10_000
+    initial_rounds: int = 0
+    initial_inflation: float = 2.0
+    loop_scale: float = 1.0
+    pre_inflation: float = 1.0
+
+    def power(self, done: int) -> float:
+        """Inflation of the round after ``done`` rounds."""
+        return self.initial_inflation if done < self.initial_rounds else self.inflation
 
 
 @dataclass(frozen=True)

@@ -43,8 +43,9 @@ def reject_rates(rows: DataFrame, group: str, sequence: str, least: int = 10, mo
 
 
 def duplicate_ids(rows: DataFrame, *keys: str) -> DataFrame:
-    """Keys that occur more than once, with their number."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    """Keys that occur in more than one different row, with their number; copies of a row count once
+    and rows without a key not at all."""
+    return rows.distinct().dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
 def header_mismatches(rows: DataFrame, header: str, taxon: str) -> DataFrame:

@@ -12,7 +12,8 @@ smallest id, the smallest node it holds.
 
 from __future__ import annotations
 
-
+import warnings
+from dataclasses import replace
 from functools import reduce
 
 import numpy as np
@@ -50,16 +51,16 @@ def prune_column(v: np.ndarray, cfg: FlowConfig) -> np.ndarray:
 
 def settle(m: np.ndarray, cfg: FlowConfig) -> np.ndarray:
     """The limit of a column-stochastic matrix, columns being m[:, i]."""
-    for _ in range(cfg.most_rounds):
+    for done in range(cfg.most_rounds):
         e = m @ m
         most, centre = e.max(0), (e * e).sum(0)
         e = np.apply_along_axis(prune_column, 0, e, cfg)
         kept = (e > 0).sum(0)
         e /= e.sum(0)
         chaos = float(((most - centre) * kept).max())
-        m = e**cfg.inflation
+        m = e ** cfg.power(done)
         m /= m.sum(0)
-        if chaos < cfg.chaos:
+        if chaos < cfg.chaos and done >= cfg.initial_rounds:
             break
     return m
 
@@ -70,8 +71,6 @@ def interpret(m: np.ndarray) -> np.ndarray:
     own, most = np.diag(m), m.max(0)
     bar = np.where(own >= most, own / 1.01, 0.999 * own + 0.001 * most)
     d = np.where(m >= bar, m, 0.0)
-    d = d / d.sum(0)
-    d = np.where(d >= 1 / (n + 1), d, 0.0)
     attractor = np.diag(d) > 0
     label = np.where(attractor, np.arange(n), n)
     while True:  # attractors that feed each other are one cluster
@@ -91,8 +90,12 @@ def interpret(m: np.ndarray) -> np.ndarray:
     return np.where(label == n, np.arange(n), label)
 
 
-def _start(g: DataFrame, extra: DataFrame | None) -> DataFrame:
-    return gr.normalize(gr.loops_at_max(g, extra))
+def start(g: DataFrame, cfg: FlowConfig, extra: DataFrame | None = None) -> DataFrame:
+    """The matrix that flow starts from: with loops, and columns that sum to 1."""
+    looped = gr.loops_at_max(g, extra)
+    scaled = F.when(F.col("src") == F.col("dst"), F.col("weight") * cfg.loop_scale).otherwise(F.col("weight"))
+    looped = gr.nonzero(looped.withColumn("weight", scaled)) if cfg.loop_scale != 1 else looped
+    return gr.normalize(gr.inflate(looped, cfg.pre_inflation) if cfg.pre_inflation != 1 else looped)
 
 
 def _small(arcs: DataFrame, cfg: FlowConfig, kind: str) -> DataFrame:
@@ -143,22 +146,27 @@ def _by_size(m: DataFrame, small: int, extra: DataFrame | None = None) -> tuple[
     return sized.where(F.col("size") <= small).drop("size"), sized.where(F.col("size") > small).select(*gr.ARC, "weight")
 
 
-def _large(m: DataFrame, cfg: FlowConfig, kind: str, small: int) -> DataFrame:
+def _large(m: DataFrame, cfg: FlowConfig, kind: str, small: int, trace: list | None = None) -> DataFrame:
     """(cluster_id, node) by the distributed loop. Pruning cuts large components into pieces; those
     that have become small leave the loop for the kernel, which goes on from where they are."""
     done = []
+    worst = None
     for i in range(1, cfg.most_rounds + 1):
         scaled, chaos = expand_pruned(m, cfg)
         both = checkpointed(scaled.join(chaos, "src"))
-        worst = both.agg(F.max("chaos")).first()[0]
-        m = checkpointed(gr.inflate(both.select(*gr.ARC, "weight"), cfg.inflation))
-        if worst is None or worst < cfg.chaos:
+        arcs, worst = both.agg(F.count(F.lit(1)), F.max("chaos")).first()
+        if trace is not None:
+            trace.append({"round": i, "arcs": arcs, "chaos": worst})
+        m = checkpointed(gr.inflate(both.select(*gr.ARC, "weight"), cfg.power(i - 1)), m, both)
+        if worst is None or (worst < cfg.chaos and i > cfg.initial_rounds):
             break
-        if i % LOOK == 0 and small:
+        if i % LOOK == 0 and small and i >= cfg.initial_rounds:
             pieces, m = _by_size(m, small)
-            done.append(_small(pieces, cfg, kind))
+            done.append(_small(pieces, replace(cfg, initial_rounds=0), kind))
             if m.isEmpty():
                 break
+    else:
+        warnings.warn(f"flow has not settled after {cfg.most_rounds} rounds: {worst}", stacklevel=2)
     return reduce(DataFrame.unionByName, [*done, interpret_graph(m)])
 
 
@@ -170,28 +178,38 @@ def interpret_graph(m: DataFrame) -> DataFrame:
     dag = checkpointed(m.join(bars, "src").where(F.col("weight") >= bar).select(*gr.ARC, "weight"))
     heads = dag.where("src = dst").select(F.col("src").alias("node"))
     label = gr.components(gr.sub_graph(dag, heads), heads).select("node", F.col("component").alias("cluster_id"))
-    label = checkpointed(label)
-    while True:
-        open_arcs = dag.join(label.select(F.col("node").alias("src")), "src", "left_anti")
+    attractors = label = checkpointed(label)
+    open_arcs = dag.join(heads.withColumnRenamed("node", "src"), "src", "left_anti")
+    seen = None
+    while True:  # the others take the smallest cluster that any of their arcs leads to, until nothing changes
         more = open_arcs.join(label.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("cluster_id").alias("cluster_id"))
-        more = checkpointed(more)
-        if more.isEmpty():
+        label = checkpointed(attractors.unionByName(more), *([] if label is attractors else [label]))
+        now = label.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "cluster_id"))).first()
+        if now == seen:
             break
-        label = checkpointed(label.unionByName(more))
+        seen = now
     rest = m.select(F.col("src").alias("node")).distinct().join(label, "node", "left_anti")
     found = label.select("cluster_id", "node").unionByName(rest.select(F.col("node").alias("cluster_id"), "node"))
     least = found.groupBy("cluster_id").agg(F.min("node").alias("least"))
     return found.join(least, "cluster_id").select(F.col("least").alias("cluster_id"), "node")
 
 
-def flow_clusters(arcs: DataFrame, cfg: FlowConfig = FlowConfig(), extra: DataFrame | None = None, small: int = SMALL) -> DataFrame:
-    """(cluster_id, node): a partition of the nodes of ``arcs`` (src, dst, weight)."""
+def flow_clusters(arcs: DataFrame, cfg: FlowConfig = FlowConfig(), extra: DataFrame | None = None, small: int = SMALL, trace: list | None = None) -> DataFrame:
+    """(cluster_id, node): a partition of the nodes of ``arcs`` (src, dst, weight).
+
+    ``small`` only chooses between kernel and loop, which follow the same rules. ``trace`` gets the
+    number of arcs and the largest chaos of each round of the loop."""
     g = gr.drop_loops(gr.load(arcs.select("src", "dst", "weight")))
-    start = checkpointed(_start(g, extra))
-    little, large = _by_size(start, small, extra)
-    kind = dict(start.dtypes)["src"]
+    first = checkpointed(start(g, cfg, extra))
+    little, large = _by_size(first, small, extra)
+    kind = dict(first.dtypes)["src"]
     done = _small(little, cfg, kind)
-    return done if large.isEmpty() else done.unionByName(_large(large, cfg, kind, small))
+    return done if large.isEmpty() else done.unionByName(_large(large, cfg, kind, small, trace))
+
+
+def keep_clusters(g: DataFrame, cfg: FlowConfig = FlowConfig()) -> DataFrame:
+    """The arcs of a graph that lie within its own flow clusters."""
+    return gr.blocks(g, checkpointed(flow_clusters(g, cfg)))
 
 
 def split_connected(clusters: DataFrame, g: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.session import checkpointed
+from kinweave.operators.skew import salted_join
+from kinweave.session import checkpointed, release
 
 ARC = ["src", "dst"]
 
@@ -61,10 +62,10 @@ def load(arcs: DataFrame, merge: str = "max", mirror: bool = True) -> DataFrame:
     return nonzero(whole.groupBy(*ARC).agg(MERGES[merge]("weight").alias("weight")))
 
 
-def merge_ordered(arcs: DataFrame, order: str, last: bool = False) -> DataFrame:
-    """Arcs of the same ends reduced to the first, or last, in ``order``."""
+def merge_ordered(arcs: DataFrame, order: tuple[str, ...], last: bool = False) -> DataFrame:
+    """Arcs of the same ends reduced to the first, or last, in ``order``; of those equal in it any."""
     pick = F.max_by if last else F.min_by
-    return arcs.groupBy(*ARC).agg(pick("weight", order).alias("weight"))
+    return arcs.groupBy(*ARC).agg(pick("weight", F.struct(*order)).alias("weight"))
 
 
 def apply_values(g: DataFrame, steps: list[tuple[str, float]]) -> DataFrame:
@@ -86,26 +87,39 @@ def paired(g: DataFrame) -> DataFrame:
     return own.unionByName(back).groupBy(*ARC).agg(F.sum("w").alias("w"), F.sum("r").alias("r"))
 
 
-#: How an arc and its reverse are combined.
-TRANSPOSED: dict[str, Callable[[Column, Column], Column]] = {
+_both = lambda w, r: (w != 0) & (r != 0)
+
+#: Functions of two weights, of which an absent one is 0; of an arc and its reverse, or of
+#: the arcs of two graphs.
+BINARY: dict[str, Callable[[Column, Column], Column]] = {
+    "left": lambda w, r: w,
+    "right": lambda w, r: r,
     "max": F.greatest,
     "min": F.least,
     "add": lambda w, r: w + r,
+    "subtract": lambda w, r: w - r,
     "mul": lambda w, r: w * r,
-    "arcmax": lambda w, r: F.when(w >= r, w).otherwise(0.0),
+    "cross": lambda w, r: F.when(_both(w, r), w * r).when(w != 0, w).otherwise(r),
+    "min_nonzero": lambda w, r: F.when(_both(w, r), F.least(w, r)).otherwise(0.0),
+    "max_nonzero": lambda w, r: F.when(_both(w, r), F.greatest(w, r)).otherwise(0.0),
+    "left_or_right": lambda w, r: F.when(w != 0, w).otherwise(r),
+    "left_and_not_right": lambda w, r: F.when(r == 0, w).otherwise(0.0),
+    "left_and_right": lambda w, r: F.when(_both(w, r), w).otherwise(0.0),
+    "arcmax": lambda w, r: F.when(_both(w, r) & (w < r), 0.0).otherwise(w),
     "arcsub": lambda w, r: w - r,
 }
 
 
 def combine_transpose(g: DataFrame, how: str) -> DataFrame:
-    return nonzero(paired(g).select(*ARC, TRANSPOSED[how](F.col("w"), F.col("r")).alias("weight")))
+    return nonzero(paired(g).select(*ARC, BINARY[how](F.col("w"), F.col("r")).alias("weight")))
 
 
 def filter_arc_pairs(g: DataFrame, measure: str, compare: str, bound: float) -> DataFrame:
-    """Arcs whose larger or smaller weight, or difference, of both directions compares as asked."""
-    value = {"max": F.greatest("w", "r"), "min": F.least("w", "r"), "diff": F.abs(F.col("w") - F.col("r"))}[measure]
-    keep = {"gq": value >= bound, "gt": value > bound, "lq": value <= bound, "lt": value < bound}[compare]
-    return paired(g).where(keep & (F.col("w") != 0)).select(*ARC, F.col("w").alias("weight"))
+    """Arcs of which one direction ('max'), both ('min') or the absolute difference ('diff') compares as asked."""
+    test = {"gq": lambda v: v >= bound, "gt": lambda v: v > bound, "lq": lambda v: v <= bound, "lt": lambda v: v < bound}[compare]
+    w, r = F.col("w"), F.col("r")
+    keep = {"max": test(w) | test(r), "min": test(w) & test(r), "diff": test(F.abs(w - r))}[measure]
+    return paired(g).where(keep & (w != 0)).select(*ARC, w.alias("weight"))
 
 
 def combine(a: DataFrame, b: DataFrame, f: Callable[[Column, Column], Column]) -> DataFrame:
@@ -151,10 +165,10 @@ def inflate(g: DataFrame, power: float) -> DataFrame:
 
 def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
     """The column of each ``src`` of ``b`` sent on through ``a``: weight(src, dst) = sum over k of
-    b(src, k) x a(k, dst)."""
+    b(src, k) x a(k, dst). The arcs into a hub k are spread over tasks that each have what leaves it."""
     left = b.select("src", F.col("dst").alias("k"), F.col("weight").alias("x"))
     right = a.select(F.col("src").alias("k"), "dst", F.col("weight").alias("y"))
-    return nonzero(left.join(right, "k").groupBy(*ARC).agg(F.sum(F.col("x") * F.col("y")).alias("weight")))
+    return nonzero(salted_join(left, right, ["k"]).groupBy(*ARC).agg(F.sum(F.col("x") * F.col("y")).alias("weight")))
 
 
 def step(g: DataFrame, squarings: int = 1) -> DataFrame:
@@ -203,9 +217,11 @@ def quantile(g: DataFrame, q: float) -> DataFrame:
 
 
 def power_threshold(g: DataFrame, x: float) -> DataFrame:
-    """Arcs of at least x times sum of squares over sum of the node's weights, loops aside."""
-    bars = drop_loops(g).groupBy("src").agg((F.lit(float(x)) * F.sum(F.col("weight") ** 2) / F.sum("weight")).alias("_bar"))
-    return g.join(bars, "src").where("weight >= _bar").select(*ARC, "weight")
+    """Arcs above x times sum of squares over sum of the node's weights, loops aside. A loop has to be
+    above that too; a node that has nothing but its loop keeps it."""
+    other = F.when(F.col("src") != F.col("dst"), F.col("weight"))
+    bars = g.groupBy("src").agg((F.lit(float(x)) * F.sum(other * other) / F.nullif(F.sum(other), F.lit(0.0))).alias("_bar"))
+    return g.join(bars, "src").where("_bar IS NULL OR weight > _bar").select(*ARC, "weight")
 
 
 def cap_degrees(g: DataFrame, k: int) -> DataFrame:
@@ -245,6 +261,62 @@ def neighbourhood(g: DataFrame, start: DataFrame, hops: int = 1) -> DataFrame:
     return reached
 
 
+def ring(g: DataFrame, start: DataFrame, hops: int) -> DataFrame:
+    """(node): what is exactly ``hops`` arcs away from the nearest of ``start``."""
+    nearer = neighbourhood(g, start, hops - 1)
+    return neighbourhood(g, nearer, 1).join(nearer, "node", "left_anti")
+
+
+def select(
+    g: DataFrame, columns: DataFrame | None = None, rows: DataFrame | None = None, around: int = 0, least_degree: int | None = None, most_degree: int | None = None,
+    steps: list[tuple[str, float]] = (),
+) -> DataFrame:
+    """A part of a graph: arcs from ``columns`` (node), with what lies ``around`` arcs from them, to
+    ``rows`` (default: the same nodes), between nodes whose degree in that part is within bounds,
+    with values transformed."""
+    part = g
+    if columns is not None:
+        chosen = neighbourhood(g, columns, around)
+        part = sub_graph(g, chosen, rows)
+    if least_degree is not None or most_degree is not None:
+        d = F.col("degree")
+        fit = (d >= least_degree if least_degree is not None else F.lit(True)) & (d <= most_degree if most_degree is not None else F.lit(True))
+        part = sub_graph(part, degrees(part).where(fit))
+    return apply_values(part, list(steps)) if steps else part
+
+
+#: Graph transforms by name, each of a graph and a number (ignored where none is needed).
+GRAPHS: dict[str, Callable[[DataFrame, float], DataFrame]] = {
+    **{how: lambda g, x, how=how: combine_transpose(g, how) for how in ("max", "min", "add", "mul", "arcmax", "arcsub")},
+    **{f"arc{m}{c}": lambda g, x, m=m, c=c: filter_arc_pairs(g, m, c, x) for m in ("max", "min", "diff") for c in ("gq", "gt", "lq", "lt")},
+    "transpose": lambda g, x: transpose(g),
+    "drop_loops": lambda g, x: drop_loops(g),
+    "loops_at_max": lambda g, x: loops_at_max(g),
+    "normalize_self": lambda g, x: normalize_self(g),
+    "normalize": lambda g, x: normalize(g),
+    "inflate": lambda g, x: inflate(g, x),
+    "knn": lambda g, x: knn(g, int(x)),
+    "knn_union": lambda g, x: knn(g, int(x), False),
+    "rank": lambda g, x: top_k(g, int(x)),
+    "cap_degrees": lambda g, x: cap_degrees(g, int(x)),
+    "power_threshold": lambda g, x: power_threshold(g, x),
+    "quantile": lambda g, x: quantile(g, x),
+    "step": lambda g, x: step(g, int(x)),
+    "common_neighbours": lambda g, x: common_neighbours(g),
+    "upper": lambda g, x: upper(g),
+    "lower": lambda g, x: lower(g),
+    "sampled": lambda g, x: sampled(g, x),
+}
+
+
+def transform(g: DataFrame, steps: list[tuple[str, float]]) -> DataFrame:
+    """Value and graph transforms in order, by name; of a name in both, the value transform is ``value:name``."""
+    for name, x in steps:  # a parameter, not data
+        bare = name.removeprefix("value:")
+        g = GRAPHS[name](g, x) if name in GRAPHS else apply_values(g, [(bare, x)])
+    return g
+
+
 def blocks(g: DataFrame, clusters: DataFrame, inside: bool = True) -> DataFrame:
     """Arcs within one cluster, or between two; nodes of no cluster have no arcs in either."""
     own = lambda end: clusters.select(F.col("node").alias(end), F.col("cluster_id").alias(f"_{end}"))
@@ -313,13 +385,16 @@ def components(g: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     while True:
         sym = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = sym.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # the centre of a star may own a third of all edges: its rows are salted in both joins
+        large = checkpointed(salted_join(sym.where("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
-        edges = checkpointed(large.join(lowest, "u").select(hung.alias("e")).select("e.u", "e.v").where("u <> v").distinct())
+        edges = checkpointed(salted_join(large, lowest, ["u"]).select(hung.alias("e")).select("e.u", "e.v").where("u <> v").distinct(), edges)
+        release(large)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == seen:
             break
         seen = now
+    # an edge is now a node and its component
     every = nodes(g) if extra is None else nodes(g).unionByName(extra.select("node")).distinct()
     return every.join(edges.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))

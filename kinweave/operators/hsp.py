@@ -11,10 +11,11 @@ lengths count on the subject; hits whose gene has no length are dropped, or rais
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions.evalue import repair_zero_exponents, round_tenth, split_evalue
+from kinweave.operators.chunked import chunked
 from kinweave.operators.intervals import gaps
 
 _PAIR = ["query_id", "subject_id"]
@@ -132,11 +133,23 @@ def finish_accumulators(parts: DataFrame, taxon_of) -> DataFrame:
     return _finish(pairs.join(extents, _PAIR, "left"), uncovered(spans, start, end))
 
 
-def runs(hits: DataFrame, order: str = "line_id", within: str = "file_name") -> DataFrame:
+def runs(hits: DataFrame, order: str = "line_id", within: str = "file_name", chunk_rows: int | None = None) -> DataFrame:
     """``hits`` with ``run``: hits of a pair that stand together in a file; a later return of the
-    pair is a new run. For input whose separate runs are to stay separate records."""
-    from pyspark.sql import Window
-
-    line = Window.partitionBy(within).orderBy(order)
-    changed = F.lag(F.struct(*_PAIR)).over(line).isNull() | (F.lag("query_id").over(line) != F.col("query_id")) | (F.lag("subject_id").over(line) != F.col("subject_id"))
-    return hits.withColumn("run", F.sum(changed.cast("int")).over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    pair is a new run. For input whose separate runs are to stay separate records.
+
+    A file may hold most of the rows: it is numbered in equal chunks, of which the first and last
+    pair and the number of changes are merged in order. ``order`` identifies a row; hits without a
+    file have no run and are left out."""
+    kept = [c for c in hits.columns if c != order]
+    rows = chunked(hits.select(F.col(order).alias("_row"), *kept), within, chunk_rows)
+    pair = F.struct(*_PAIR)
+    along = Window.partitionBy(within, "_chunk").orderBy("_row")
+    changed = F.coalesce((~F.lag(pair).over(along).eqNullSafe(pair) & F.lag(F.lit(1)).over(along).isNotNull()).cast("int"), F.lit(0))
+    rows = rows.withColumn("_changed", changed)
+    states = rows.groupBy(within, "_chunk").agg(F.min_by(pair, "_row").alias("_head"), F.max_by(pair, "_row").alias("_tail"), F.sum("_changed").alias("_inside"))
+    chunks = Window.partitionBy(within).orderBy("_chunk")
+    opens = (F.lag("_chunk").over(chunks).isNull() | ~F.lag("_tail").over(chunks).eqNullSafe(F.col("_head"))).cast("int")
+    begun = F.sum(F.col("_opens") + F.col("_inside")).over(chunks) - F.col("_inside")
+    offsets = states.withColumn("_opens", opens).select(within, "_chunk", begun.alias("_offset"))
+    run = F.sum("_changed").over(along.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_offset")
+    return rows.join(offsets, [within, "_chunk"]).select(F.col("_row").alias(order), *kept, run.alias("run"))

@@ -56,13 +56,30 @@ def threshold_sweep(g: DataFrame, thresholds: list[float]) -> DataFrame:
     return edges.join(nodes, "threshold").select("threshold", "edges", "nodes", (2 * F.col("edges") / F.col("nodes")).alias("mean_degree"))
 
 
-def component_sweep(g: DataFrame, thresholds: list[float]) -> DataFrame:
-    """Per threshold: components among nodes with edges, the largest, and pairs of nodes joined."""
+#: How a sweep reduces the graph for one of its values.
+REDUCTIONS = {
+    "threshold": lambda g, x: g.where(F.col("weight") >= x),
+    "knn": lambda g, x: gr.knn(g, int(x)),
+    "knn_union": lambda g, x: gr.knn(g, int(x), False),
+    "cap": lambda g, x: gr.cap_degrees(g, int(x)),
+    "power": lambda g, x: gr.power_threshold(g, x),
+}
+
+
+def sweep(g: DataFrame, values: list[float], by: str = "threshold") -> DataFrame:
+    """Per value: edges and nodes of what the reduction leaves of the graph, its components, the
+    largest, nodes alone with one other, mean degree, mean clustering coefficient and mean weight."""
     found = []
-    for t in thresholds:  # a parameter, not data
-        sizes = gr.components(g.where(F.col("weight") >= t)).groupBy("component").agg(F.count(F.lit(1)).alias("s"))
-        found.append(sizes.agg(F.count(F.lit(1)).alias("components"), F.coalesce(F.max("s"), F.lit(0)).alias("largest")).withColumn("threshold", F.lit(float(t))))
-    return reduce(DataFrame.unionByName, found).select("threshold", "components", "largest")
+    whole = checkpointed(gr.load(gr.drop_loops(g)))
+    for x in values:  # a parameter, not data
+        part = checkpointed(REDUCTIONS[by](whole, x))
+        sizes = gr.components(part).groupBy("component").agg(F.count(F.lit(1)).alias("s"))
+        count = F.count(F.lit(1))
+        parts = sizes.agg(count.alias("components"), F.coalesce(F.max("s"), F.lit(0)).alias("largest"), F.count(F.when(F.col("s") == 2, 1)).alias("couples"))
+        one = clustering_coefficient(part).agg(count.alias("nodes"), F.avg("degree").alias("mean_degree"), F.avg("coefficient").alias("coefficient"))
+        edges = part.agg(F.count(F.when(F.col("src") < F.col("dst"), 1)).alias("edges"), F.avg("weight").alias("mean_weight"))
+        found.append(edges.join(one).join(parts).withColumn("value", F.lit(float(x))))  # one row each
+    return reduce(DataFrame.unionByName, found).select("value", "edges", "nodes", "components", "largest", "couples", "mean_degree", "coefficient", "mean_weight")
 
 
 def distances(g: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
@@ -78,7 +95,8 @@ def distances(g: DataFrame, sources: DataFrame, most: int | None = None) -> Data
         front = checkpointed(fresh.select("source", "node", F.lit(depth).alias("depth"), "paths"))
         if front.isEmpty():
             break
-        reached = reached.unionByName(front)
+        reached = checkpointed(reached.unionByName(front), reached, front) if depth % 8 == 0 else reached.unionByName(front)
+        front = reached.where(F.col("depth") == depth) if depth % 8 == 0 else front
     return reached
 
 
@@ -107,7 +125,7 @@ def betweenness(g: DataFrame, sources: DataFrame, most: int | None = None) -> Da
     return reduce(DataFrame.unionByName, found).groupBy("node").agg(F.sum("share").alias("score")).where("score > 0")
 
 
-def shortest_path_nodes(g: DataFrame, pairs: DataFrame, most: int) -> DataFrame:
+def shortest_path_nodes(g: DataFrame, pairs: DataFrame, most: int | None = None) -> DataFrame:
     """(source, target, node, depth): nodes on any shortest path of each pair (source, target)."""
     out = checkpointed(distances(g, pairs.select(F.col("source").alias("node")), most))
     back = checkpointed(distances(gr.transpose(g), pairs.select(F.col("target").alias("node")), most))

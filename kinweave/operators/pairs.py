@@ -86,7 +86,7 @@ def by_taxon_pair(edges: DataFrame, kind: str) -> DataFrame:
     pair = [F.least("taxon_a", "taxon_b").alias("_t1"), F.greatest("taxon_a", "taxon_b").alias("_t2")]
     keyed = edges.select("*", *pair)
     means = keyed.groupBy("_t1", "_t2").agg(F.avg("unnormalized_score").alias("_mean"))  # at most a row per two taxa
-    return _scored(keyed.join(means, ["_t1", "_t2"]), kind)
+    return _scored(salted_join(keyed, means, ["_t1", "_t2"]), kind)
 
 
 def _scored(edges: DataFrame, kind: str) -> DataFrame:
@@ -109,7 +109,7 @@ def inparalogs(sim: DataFrame, cfg: PairConfig, ortho: DataFrame) -> DataFrame:
     touching = F.coalesce("_a", "_b", F.lit(False))
     mean = F.coalesce(F.avg(F.when(touching, F.col("unnormalized_score"))), F.avg("unnormalized_score"))
     means = flagged.groupBy("taxon_a").agg(mean.alias("_mean"))  # a row per taxon
-    return _scored(flagged.join(means, "taxon_a"), "inparalog")
+    return _scored(salted_join(flagged, means, ["taxon_a"]), "inparalog")
 
 
 def both_ways(edges: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Blocks of queries of bounded size go to the tasks that hold the rows, where one matrix product
 per batch gives all measures; nothing is shuffled. Defined results: vectors with a null, of
-another length than the first query, or without length are left out; a zero vector has no
-cosine and no correlation with anything; pairs of a row with itself are left out.
+another length than the first query, or without length are left out (nulls may be allowed as
+gaps); a zero vector has no cosine and no correlation with anything; pairs of a row with itself
+are left out.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.operators.skew import salted_join
+
 #: Numbers of query vectors that one block holds at most.
 BLOCK = 4_000_000
 
-MEASURES = ("dot", "cosine", "angle", "pearson", "euclid", "taxi", "chebyshev")
+MEASURES = ("dot", "cosine", "sine", "half_sine", "half_cosine", "angle", "acute", "cosine_skew", "pearson", "euclid", "taxi", "chebyshev", "minkowski")
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -27,22 +30,41 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
 
 
-def score(q: np.ndarray, x: np.ndarray, measure: str) -> np.ndarray:
-    """Matrix of scores, queries by rows."""
+def score(q: np.ndarray, x: np.ndarray, measure: str, power: float = 2.0) -> np.ndarray:
+    """Matrix of scores, queries by rows. ``power`` is that of ``minkowski``. The skewed cosine divides
+    the root of the inner product by the length of the query alone, and is 0 if the product is negative."""
     if measure == "dot":
         return q @ x.T
-    if measure in ("cosine", "angle"):
+    if measure == "cosine_skew":
+        norm = np.sqrt((q * q).sum(1, keepdims=True))
+        return np.divide(np.sqrt(np.maximum(q @ x.T, 0)), norm, out=np.full((len(q), len(x)), np.nan), where=norm > 0)
+    if measure in ("cosine", "sine", "half_sine", "half_cosine", "angle", "acute"):
         c = np.clip(_unit(q) @ _unit(x).T, -1, 1)
-        return c if measure == "cosine" else np.arccos(c)
+        of = {"cosine": lambda: c, "sine": lambda: np.sqrt(1 - c * c), "half_sine": lambda: np.sqrt(0.5 - 0.5 * c), "half_cosine": lambda: np.sqrt(0.5 + 0.5 * c), "angle": lambda: np.arccos(c), "acute": lambda: np.arccos(np.abs(c))}
+        return of[measure]()
     if measure == "pearson":
         return np.clip(_unit(q - q.mean(1, keepdims=True)) @ _unit(x - x.mean(1, keepdims=True)).T, -1, 1)
     out = np.empty((len(q), len(x)))
     for i, row in enumerate(q):
         gap = np.abs(x - row)
-        out[i] = np.sqrt((gap * gap).sum(1)) if measure == "euclid" else gap.sum(1) if measure == "taxi" else gap.max(1)
+        of = {"euclid": lambda: np.sqrt((gap * gap).sum(1)), "taxi": lambda: gap.sum(1), "chebyshev": lambda: gap.max(1), "minkowski": lambda: (gap**power).sum(1) ** (1 / power)}
+        out[i] = of[measure]()
     return out
 
 
+def filled(q: np.ndarray, x: np.ndarray, measure: str) -> np.ndarray:
+    """Cosine and Pearson of vectors with gaps (NaN): each pair by the places that both have."""
+    a, b = (~np.isnan(q)).astype(float), (~np.isnan(x)).astype(float)
+    q, x = np.nan_to_num(q), np.nan_to_num(x)
+    n, ip = a @ b.T, q @ x.T
+    sq, sx, qq, xx = q @ b.T, a @ x.T, (q * q) @ b.T, a @ (x * x).T
+    if measure == "cosine":
+        top, bottom = ip, qq * xx
+    else:
+        top, bottom = n * ip - sq * sx, np.maximum(n * qq - sq * sq, 0) * np.maximum(n * xx - sx * sx, 0)
+    return np.clip(np.divide(top, np.sqrt(bottom), out=np.full(top.shape, np.nan), where=bottom > 1e-12), -1, 1)
+
+
 def rank_transform(df: DataFrame, key: str, vector: str) -> DataFrame:
     """Each vector replaced by the ranks of its numbers, ties sharing their mean rank."""
     cells = df.select(key, F.posexplode(vector).alias("_p", "_v"))
@@ -52,11 +74,15 @@ def rank_transform(df: DataFrame, key: str, vector: str) -> DataFrame:
     return ranked.select(key, F.transform("_s", lambda s: s["_k"].cast("double")).alias(vector))
 
 
-def against(rows: DataFrame, queries: DataFrame, key: str, vector: str, measure: str, at_least: float | None = None) -> DataFrame:
-    """(query, row, score) of every query with every other row, or those that score enough."""
+def against(rows: DataFrame, queries: DataFrame, key: str, vector: str, measure: str, at_least: float | None = None, power: float = 2.0, gaps: bool = False) -> DataFrame:
+    """(query, row, score) of every query with every other row, or those that score enough.
+
+    ``gaps``: nulls in a vector are places without a value, for cosine and pearson; each pair is
+    judged by the places that both have."""
     spark = rows.sparkSession
-    clean = F.col(key).isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, lambda v: v.isNull() | F.isnan(v.cast("double")))
-    wide = lambda df: df.where(clean).select(key, F.transform(vector, lambda v: v.cast("double")).alias(vector))
+    missing = lambda v: v.isNull() | F.isnan(v.cast("double"))
+    clean = F.col(key).isNotNull() & (F.size(vector) > 0) & (~F.forall(vector, missing) if gaps else ~F.exists(vector, missing))
+    wide = lambda df: df.where(clean).select(key, F.transform(vector, lambda v: F.coalesce(v.cast("double"), F.lit(float("nan")))).alias(vector))
     schema = "query bigint, row bigint, score double"
     passes, block = [], []
 
@@ -71,7 +97,8 @@ def against(rows: DataFrame, queries: DataFrame, key: str, vector: str, measure:
                 batch = batch[batch[vector].map(len) == matrix.shape[1]]
                 for i in range(0, len(batch), step):
                     part = batch.iloc[i : i + step]
-                    s = score(matrix, np.stack(part[vector].to_list()), measure)
+                    own = np.stack(part[vector].to_list())
+                    s = filled(matrix, own, measure) if gaps else score(matrix, own, measure, power)
                     own = part[key].to_numpy()
                     keep = (ids[:, None] != own[None, :]) & ~np.isnan(s)
                     if at_least is not None:
@@ -100,7 +127,8 @@ def set_scores(sets: DataFrame, queries: DataFrame) -> DataFrame:
     every = sets.select("id", "item").dropna().distinct()
     asked = queries.select("id").distinct()
     own = every.join(asked, "id", "left_semi").select(F.col("id").alias("query"), "item")
-    met = every.join(own, "item").where("id <> query").groupBy("query", F.col("id").alias("row")).agg(F.count(F.lit(1)).alias("meet"))
+    # an item may be in a third of all sets
+    met = salted_join(every, own, ["item"]).where("id <> query").groupBy("query", F.col("id").alias("row")).agg(F.count(F.lit(1)).alias("meet"))
     sizes = every.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     both = met.join(sizes.select(F.col("id").alias("query"), F.col("n").alias("a")), "query").join(sizes.select(F.col("id").alias("row"), F.col("n").alias("b")), "row")
     m, a, b = F.col("meet"), F.col("a"), F.col("b")

@@ -1,11 +1,13 @@
-"""Hits, graphs and clusterings derived from the order tables, for Spark and in SQL alike."""
+"""Hits, graphs and clusterings derived from the tables, for Spark and in SQL alike."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.tables import table
+from kinweave.operators.graph import nodes
+from kinweave.sources.text import MOST_WEIGHT
+from kinweave.tables import clean_id, table
 
 #: Parts per gene, taxa, and every how many hits an e-value is zero.
 PARTS_PER_GENE, TAXA, ZERO_EVERY = 4, 4, 41
@@ -53,18 +55,54 @@ sim AS (SELECT q, s, qt, st, m, (CASE WHEN m = 0 THEN lo - 1 ELSE e0 END)::INT e
 """
 
 
-def order_graph(spark: SparkSession, d: str) -> DataFrame:
-    """Directed graph (src, dst, weight) of parts sold together in large numbers."""
-    lines = table(spark, d, "lineitem").where("l_quantity >= 40").select("l_orderkey", "l_partkey", "l_quantity")
-    a, b = lines.alias("a"), lines.alias("b")
-    both = a.join(b, (F.col("a.l_orderkey") == F.col("b.l_orderkey")) & (F.col("a.l_partkey") != F.col("b.l_partkey")))
-    weight = F.sum(2 * F.col("a.l_quantity") + F.col("b.l_quantity") - 100)
-    return both.groupBy(F.col("a.l_partkey").alias("src"), F.col("b.l_partkey").alias("dst")).agg(weight.alias("weight"))
+def similarity_graph(spark: SparkSession, d: str) -> DataFrame:
+    """Directed graph (src, dst, weight) of all records of similarities: from query to subject, with minus
+    the decimal logarithm of the e-value, at most 200, which zero has; of several records the best.
+    Records without an id or e-value, or with an e-value of 1 and more, are no arcs."""
+    mant, exp = F.col("evalue_mant"), F.col("evalue_exp")
+    value = F.when(mant == 0, MOST_WEIGHT).otherwise(F.least(F.lit(MOST_WEIGHT), -(F.log10(mant) + exp)))
+    rows = table(spark, d, "similarities").where("evalue_mant IS NOT NULL AND evalue_exp IS NOT NULL")
+    arcs = rows.select(clean_id(F.col("query_id")).alias("src"), clean_id(F.col("subject_id")).alias("dst"), value.alias("weight"))
+    return arcs.where("src IS NOT NULL AND dst IS NOT NULL AND weight > 0").groupBy("src", "dst").agg(F.max("weight").alias("weight"))
+
+
+def _bare(col: str) -> str:
+    return f"nullif(trim({col}, E' \\t\\r'), '')"
+
+
+GRAPH_SQL = f"""
+g AS (SELECT src, dst, max(w) w FROM (SELECT {_bare("query_id")} src, {_bare("subject_id")} dst,
+  CASE WHEN evalue_mant = 0 THEN 200.0::DOUBLE ELSE least(200.0::DOUBLE, -(log10(evalue_mant) + evalue_exp)) END w
+  FROM similarities WHERE evalue_mant IS NOT NULL AND evalue_exp IS NOT NULL)
+  WHERE src IS NOT NULL AND dst IS NOT NULL AND w > 0 GROUP BY src, dst)
+"""
+
+
+def gene_clusters(spark: SparkSession, d: str, by: str) -> DataFrame:
+    """(cluster_id, node): all genes by 'taxon' or by 'band', hundreds of residues."""
+    genes = table(spark, d, "genes").select(clean_id(F.col("gene_id")).alias("node"), clean_id(F.col("taxon")).alias("t"), "length").where("node IS NOT NULL")
+    named = {"taxon": F.coalesce(F.min("t"), F.lit("none")), "band": F.coalesce(F.floor(F.max("length") / 100), F.lit(-1)).cast("string")}[by]
+    return genes.groupBy("node").agg(named.alias("cluster_id")).select("cluster_id", "node")
+
+
+GENES_SQL = f"""
+c AS (SELECT node, coalesce(min(t), 'none') taxon, coalesce(max(length) // 100, -1)::VARCHAR band
+  FROM (SELECT {_bare("gene_id")} node, {_bare("taxon")} t, length FROM genes) WHERE node IS NOT NULL GROUP BY node)
+"""
+
+
+def gene_number(node: Column) -> Column:
+    """The number in the id of a gene, after its taxon; null if it has none."""
+    return F.regexp_extract(node, r"\|[^0-9]*([0-9]+)", 1).try_cast("bigint")
+
+
+def searched(g: DataFrame) -> DataFrame:
+    """(node): the nodes of a graph of genes that searches start from, those with a number divisible by 50."""
+    return nodes(g).where(gene_number(F.col("node")) % 50 == 0)
 
 
-GRAPH_SQL = """
-g0 AS (SELECT l_orderkey o, l_partkey p, l_quantity q FROM lineitem WHERE l_quantity >= 40),
-g AS (SELECT a.p src, b.p dst, sum(2*a.q + b.q - 100) w FROM g0 a JOIN g0 b ON a.o = b.o AND a.p <> b.p GROUP BY ALL)
+SEARCHED_SQL = r"""
+q AS (SELECT DISTINCT node FROM (SELECT src node FROM g UNION ALL SELECT dst FROM g) WHERE try_cast(regexp_extract(node, '\|[^0-9]*([0-9]+)', 1) AS BIGINT) % 50 = 0)
 """
 
 

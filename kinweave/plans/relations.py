@@ -117,13 +117,36 @@ def reciprocal_strict(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    raw = pairs.orthologs(_sim(spark, d), CFG).select("seq_a", "seq_b", "unnormalized_score")
-    return pairs.raw_dedupe(raw.unionByName(raw), ["seq_a", "seq_b"], "unnormalized_score").withColumn("unnormalized_score", F.round("unnormalized_score", 6))
+    """Scores of orthologs and of all reciprocal records, which hold the orthologs again, as one list."""
+    sim = _sim(spark, d)
+    all_pairs = pairs._reciprocal(sim.where(pairs.accepted(CFG) & (F.col("query_taxon") != F.col("subject_taxon"))), pairs.BEST_ZERO)
+    raw = [df.select("seq_a", "seq_b", "unnormalized_score") for df in (pairs.orthologs(sim, CFG), all_pairs)]
+    return pairs.raw_dedupe(raw[0].unionByName(raw[1]), ["seq_a", "seq_b"], "unnormalized_score").withColumn("unnormalized_score", F.round("unnormalized_score", 6))
+
+
+def _of_similarities(spark: SparkSession, d: str) -> DataFrame:
+    return checkpointed(repair_zero_exponents(_similarities(spark, d)))
+
+
+def similarity_orthologs(spark: SparkSession, d: str) -> DataFrame:
+    return _edges(pairs.orthologs(_of_similarities(spark, d), PairConfig()))
+
+
+def similarity_inparalogs(spark: SparkSession, d: str) -> DataFrame:
+    return _edges(pairs.build(_of_similarities(spark, d), PairConfig())["inparalogs"])
+
+
+def similarity_coorthologs(spark: SparkSession, d: str) -> DataFrame:
+    return _edges(pairs.build(_of_similarities(spark, d), PairConfig())["coorthologs"])
+
+
+def similarity_reciprocal(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.strict_reciprocal(_of_similarities(spark, d), PairConfig())
 
 
 QUERIES = {
     f.__name__: f
-    for f in (hsp_collapse, blast_similarities, accumulated_similarities, evalue_split, zero_exponent_repair, threshold_legacy, threshold_mantissa, best_hit_per_taxon, best_hit_other_taxon, best_hits, reciprocal_global, orthologs, inparalogs, coorthologs, edge_union, reciprocal_strict, raw_dedupe)
+    for f in (hsp_collapse, blast_similarities, accumulated_similarities, evalue_split, zero_exponent_repair, threshold_legacy, threshold_mantissa, best_hit_per_taxon, best_hit_other_taxon, best_hits, reciprocal_global, orthologs, inparalogs, coorthologs, edge_union, reciprocal_strict, raw_dedupe, similarity_orthologs, similarity_inparalogs, similarity_coorthologs, similarity_reciprocal)
 }
 
 _RECORDS = f"""
@@ -136,8 +159,12 @@ sim AS (SELECT q, s, qt, st, m, (CASE WHEN m = 0 THEN lo - 1 ELSE e END)::INT e,
 _OK5 = "(pm >= 50 AND (m = 0 OR e < -5 OR (e = -5 AND m <= 1.0)))"
 
 
+def _score(z: object) -> str:
+    return f"CASE WHEN l.m < {z} OR r.m < {z} THEN (l.e+r.e)/-2.0 ELSE (log10(l.m*r.m)+l.e+r.e)/-2.0 END"
+
+
 def _relations(ok: str) -> str:
-    score = lambda z: f"CASE WHEN l.m < {z} OR r.m < {z} THEN (l.e+r.e)/-2.0 ELSE (log10(l.m*r.m)+l.e+r.e)/-2.0 END"
+    score = _score
     return f"""
 bt AS (SELECT q, st, min(struct_pack(e := e, m := m)) b FROM sim WHERE qt <> st GROUP BY q, st),
 bh AS (SELECT sim.* FROM sim JOIN bt USING (q, st) WHERE qt <> st AND {ok} AND (m < 0.01 OR (e = b.e AND m = b.m))),
@@ -160,6 +187,9 @@ co AS (SELECT *, raw / nullif(avg(raw) OVER (PARTITION BY least(ta, tb), greates
 
 _ORDER = f"WITH {HITS_SQL}, {_relations(_OK)} "
 _REC = f"WITH {_RECORDS} "
+_SIM = f"WITH {_RECORDS}, {_relations(_OK5)} "
+_STRICT = """, acc AS (SELECT * FROM sim WHERE qt <> st AND {ok}), k AS (SELECT q, s, st, rank() OVER (PARTITION BY q, st ORDER BY e, m) k FROM acc),
+u AS (SELECT q, any_value(s) s FROM k WHERE k = 1 GROUP BY q, st HAVING count(*) = 1) SELECT x.q seq_a, x.s seq_b FROM u x JOIN u y ON x.q = y.s AND x.s = y.q WHERE x.q < x.s"""
 _EDGE = "a seq_a, b seq_b, ta taxon_a, tb taxon_b, round(raw, 6) unnormalized_score, round(norm, 6) normalized_score"
 _SIMCOLS = "q query_id, s subject_id, qt query_taxon, st subject_taxon, m evalue_mant, e evalue_exp, pi percent_identity, pm percent_match"
 _HITS = _CELLS + r""", h AS (SELECT line_id, trim(v[1], E' \t\r') q, trim(v[2], E' \t\r') s, v[3]::DOUBLE pident, v[4]::BIGINT len, v[7]::BIGINT qs, v[8]::BIGINT qe, v[9]::BIGINT ss, v[10]::BIGINT se,
@@ -199,7 +229,11 @@ SELECT DISTINCT least(x.q, x.s) seq_a, greatest(x.q, x.s) seq_b FROM b x JOIN b
     "coorthologs": _ORDER + f"SELECT {_EDGE} FROM co",
     "edge_union": _ORDER
     + "SELECT a seq_a, b seq_b, t edge_type, trunc(norm::FLOAT::DOUBLE*1000 + 0.5)/1000 score FROM (SELECT *, 'ortholog' t FROM ortho UNION ALL SELECT a, b, ta, tb, raw, norm, 'inparalog' FROM para UNION ALL SELECT *, 'coortholog' FROM co)",
-    "reciprocal_strict": f"""WITH {HITS_SQL}, acc AS (SELECT * FROM sim WHERE qt <> st AND {_OK}), k AS (SELECT q, s, st, rank() OVER (PARTITION BY q, st ORDER BY e, m) k FROM acc),
-u AS (SELECT q, any_value(s) s FROM k WHERE k = 1 GROUP BY q, st HAVING count(*) = 1) SELECT x.q seq_a, x.s seq_b FROM u x JOIN u y ON x.q = y.s AND x.s = y.q WHERE x.q < x.s""",
-    "raw_dedupe": _ORDER + "SELECT a seq_a, b seq_b, round(raw, 6) unnormalized_score FROM ortho",
+    "reciprocal_strict": f"WITH {HITS_SQL}" + _STRICT.format(ok=_OK),
+    "raw_dedupe": _ORDER
+    + f"""SELECT DISTINCT l.q seq_a, l.s seq_b, round({_score("0.01")}, 6) unnormalized_score FROM acc l JOIN acc r ON l.q = r.s AND l.s = r.q WHERE l.q < l.s AND l.qt <> l.st""",
+    "similarity_orthologs": _SIM + f"SELECT {_EDGE} FROM ortho",
+    "similarity_inparalogs": _SIM + f"SELECT {_EDGE} FROM para",
+    "similarity_coorthologs": _SIM + f"SELECT {_EDGE} FROM co",
+    "similarity_reciprocal": f"WITH {_RECORDS}" + _STRICT.format(ok=_OK5),
 }

@@ -14,11 +14,46 @@ def edge_lines(edges: DataFrame) -> DataFrame:
     return edges.orderBy("seq_a", "seq_b", "edge_type").select(F.concat_ws("\t", "seq_a", "seq_b", score_text(F.col("normalized_score"))).alias("value"))
 
 
+def ordered_edges(edges: DataFrame) -> DataFrame:
+    """Edges in the order of their files: by both taxa and ids; in-paralogs have one taxon twice."""
+    return edges.orderBy("taxon_a", "taxon_b", "seq_a", "seq_b")
+
+
+def pair_lines(pairs: DataFrame) -> DataFrame:
+    """(value): ``a TAB b``, sorted."""
+    return pairs.orderBy("seq_a", "seq_b").select(F.concat_ws("\t", "seq_a", "seq_b").alias("value"))
+
+
+def tab_lines(labels: DataFrame) -> DataFrame:
+    """(value): ``idx TAB label``, sorted by number."""
+    return labels.orderBy("idx").select(F.concat_ws("\t", F.col("idx").cast("string"), "label").alias("value"))
+
+
+def cluster_lines(clusters: DataFrame) -> DataFrame:
+    """(value): the nodes of a cluster on one line, the largest cluster first."""
+    rows = clusters.groupBy("cluster_id").agg(F.array_sort(F.collect_list("node")).alias("m"))
+    return rows.orderBy(F.desc(F.size("m")), "cluster_id").select(F.array_join(F.transform("m", lambda n: n.cast("string")), "\t").alias("value"))
+
+
 def graph_lines(g: DataFrame) -> DataFrame:
     """(value): ``src TAB dst TAB weight``."""
     return g.select(F.concat_ws("\t", F.col("src").cast("string"), F.col("dst").cast("string"), F.col("weight").cast("string")).alias("value"))
 
 
+def matrix_lines(g: DataFrame) -> DataFrame:
+    """(value): the vectors of a matrix file, ``column row:value ... $``, sorted by column."""
+    cell = F.struct("dst", F.concat_ws(":", F.col("dst").cast("string"), F.col("weight").cast("string")).alias("t"))
+    rows = g.groupBy("src").agg(F.transform(F.array_sort(F.collect_list(cell)), lambda x: x["t"]).alias("m"))
+    return rows.orderBy("src").select(F.concat_ws(" ", F.col("src").cast("string"), F.array_join("m", " "), F.lit("$")).alias("value"))
+
+
+def dumped(g: DataFrame, part: str = "all", loops: bool = True) -> DataFrame:
+    """Arcs as a dump shows them: all, or one of the two directions of a pair ('upper', 'lower'),
+    with or without loops."""
+    kept = {"all": F.lit(True), "upper": F.col("src") <= F.col("dst"), "lower": F.col("src") >= F.col("dst")}[part]
+    return g.where(kept if loops else kept & (F.col("src") != F.col("dst")))
+
+
 def neighbour_lines(g: DataFrame) -> DataFrame:
     """(value): a node and its neighbours on one line, as the format wants it."""
     return g.groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("m")).select(F.concat_ws("\t", F.col("src").cast("string"), F.array_join("m", "\t")).alias("value"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.session import numbered_rows
+
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(value, file) of text files."""
@@ -109,17 +111,53 @@ def matrix(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("src", pair[0].cast("bigint").alias("dst"), _weight(F.get(pair, F.lit(1))).alias("weight"))
 
 
-def table_vectors(df: DataFrame, line: str = "value") -> DataFrame:
-    """(label, vector) of tab-separated tables with a label first; unreadable numbers are null."""
+def table_vectors(df: DataFrame, line: str = "value", skip: int = 0, number: str | None = None, skip_lines: int = 0) -> DataFrame:
+    """(label, vector) of tab-separated tables with a label first; unreadable numbers are null.
+
+    ``skip``: columns between label and numbers to leave out; ``skip_lines``: rows whose ``number``
+    column (their place, from 0) is below it are headings."""
     c = F.split(F.regexp_replace(line, r"[\r\n]+$", ""), "\t", -1)
-    return content(df, line).select(F.get(c, F.lit(0)).alias("label"), F.transform(F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0))), lambda x: x.try_cast("double")).alias("vector"))
+    rows = content(df, line) if number is None else content(df.where(F.col(number) >= skip_lines), line)
+    cells = F.slice(c, F.lit(2 + skip), F.greatest(F.size(c) - 1 - skip, F.lit(0)))
+    return rows.select(F.get(c, F.lit(0)).alias("label"), F.transform(cells, lambda x: x.try_cast("double")).alias("vector"))
 
 
-def report_hits(df: DataFrame, line: str = "line") -> DataFrame:
-    """12-column hits with comments to (src, dst, weight): minus the decimal logarithm of the
-    e-value, at most 200 (which zero has)."""
+def reciprocal_pairs(df: DataFrame, line: str = "value") -> DataFrame:
+    """(seq_a, seq_b) of lines with two ids, in either order and more than once; the smaller id first."""
     c = _cells(F.col(line))
-    e = F.get(c, F.lit(10))
-    value = F.when(e.rlike(r"^[eE]"), F.concat(F.lit("1"), e)).otherwise(e).try_cast("double")
-    weight = F.when(value == 0, 200.0).otherwise(F.least(F.lit(200.0), -F.log10(value)))
-    return content(df, line).where(F.size(c) == 12).select(F.get(c, F.lit(0)).alias("src"), F.get(c, F.lit(1)).alias("dst"), weight.alias("weight")).where("weight IS NOT NULL")
+    ends = F.get(c, F.lit(0)), F.get(c, F.lit(1))
+    return content(df, line).where(F.size(c) >= 2).select(F.least(*ends).alias("seq_a"), F.greatest(*ends).alias("seq_b")).distinct()
+
+
+def numbered_sources(df: DataFrame, order: str, line: str = "value") -> DataFrame:
+    """(src, dst, weight) of lines that hold targets only: the source is the line's place in ``order``
+    among the lines with content, from 0. Lines are numbered over all partitions."""
+    rows = numbered_rows(content(df, line).select(F.col(order).alias("_o"), F.col(line).alias("_l")), ["_o"], "src")
+    return rows.select("src", F.explode(_cells(F.col("_l"))).alias("dst"), F.lit(1.0).alias("weight"))
+
+
+def merged_tabs(first: DataFrame, second: DataFrame, how: str = "merge") -> DataFrame:
+    """(idx, label) of two tabs: all entries ('merge', the first tab's label holds), those of both
+    ('meet') or of the first only ('left')."""
+    once = lambda df: df.dropna().groupBy("idx").agg(F.min("label").alias("label"))
+    a, b = once(first), once(second)
+    if how == "merge":
+        return a.unionByName(b.join(a, "idx", "left_anti"))
+    return a.join(b, "idx", {"meet": "left_semi", "left": "left_anti"}[how])
+
+
+#: Fixed value: the largest weight of an e-value, which zero has.
+MOST_WEIGHT = 200.0
+
+
+def hit_weights(hits: DataFrame, score: str = "evalue", above: float = 0.0) -> DataFrame:
+    """(src, dst, weight) of typed hits: minus the decimal logarithm of the e-value, at most 200; the
+    'bits'; or the bits per aligned residue ('density'). Weights not above ``above`` are no arcs."""
+    e = F.col("evalue")
+    weight = {
+        "evalue": F.when(e == 0, MOST_WEIGHT).otherwise(F.least(F.lit(MOST_WEIGHT), -F.log10(e))),
+        "bits": F.col("bits"),
+        "density": F.col("bits") / F.nullif(F.col("length"), F.lit(0)),
+    }[score]
+    rows = hits.select(F.col("query_id").alias("src"), F.col("subject_id").alias("dst"), weight.cast("double").alias("weight"))
+    return rows.where(F.col("weight") > above)

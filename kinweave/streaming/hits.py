@@ -22,6 +22,14 @@ def source(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 6
     return stream.parquet(path)
 
 
+def once(rows: DataFrame, row: str, at: str | None = None, late: str = "400 days") -> DataFrame:
+    """Re-delivered rows count once. With the arrival time ``at``, which copies share, what is older
+    than ``late`` is left out, and the state holds the ids of that span only; without, all ids."""
+    if at is None:
+        return rows.dropDuplicates([row])
+    return rows.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", late).dropDuplicates([row, "_at"])
+
+
 def pair_totals(hits: DataFrame) -> DataFrame:
     """Per query and subject: hits, aligned length, smallest exponent."""
     return hits.groupBy("query_id", "subject_id").agg(F.count(F.lit(1)).alias("hits"), F.sum("total_length").alias("aligned"), F.min("evalue_exp").alias("best_exp"))
