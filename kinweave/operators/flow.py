@@ -25,10 +25,10 @@ from kinweave.config import FlowConfig
 from kinweave.operators import graph as gr
 from kinweave.session import checkpointed
 
-#: Components of at most so many nodes are one dense matrix in a task (18 MB at this size).
-SMALL = 1500
+#: Components of at most so many nodes are one dense matrix in a task (32 MB at this size).
+SMALL = 2000
 #: Rounds of the distributed loop after which it looks for pieces that flow no longer joins.
-LOOK = 3
+LOOK = 4
 
 
 def prune_column(v: np.ndarray, cfg: FlowConfig) -> np.ndarray:

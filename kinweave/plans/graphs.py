@@ -373,7 +373,7 @@ SELECT 'OG' || i group_id, p_partkey node FROM part JOIN k ON c = p_brand""",
 )
 
 # Flow. The graph is reduced to mutual nearest neighbours, as networks are before they are clustered.
-_NEIGHBOURS = 8
+_NEIGHBOURS = 4
 
 
 def _near(g: DataFrame) -> DataFrame:
