@@ -155,7 +155,7 @@ def hit_weights(hits: DataFrame, score: str = "evalue", above: float = 0.0) -> D
     'bits'; or the bits per aligned residue ('density'). Weights not above ``above`` are no arcs."""
     e = F.col("evalue")
     weight = {
-        "evalue": F.when(e == 0, MOST_WEIGHT).otherwise(F.least(F.lit(MOST_WEIGHT), -F.log10(e))),
+        "evalue": F.when(e == 0, MOST_WEIGHT).when(e > 0, F.least(F.lit(MOST_WEIGHT), -F.log10(e))),
         "bits": F.col("bits"),
         "density": F.col("bits") / F.nullif(F.col("length"), F.lit(0)),
     }[score]

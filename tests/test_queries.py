@@ -42,7 +42,7 @@ def test_query(spark, tables, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["flow_clusters", "gene_groups", "component_sweep", "betweenness", "split_connected", "report_hits"])
+@pytest.mark.parametrize("name", ["flow_clusters", "flow_hierarchy", "keep_flow_clusters", "sub_cluster", "gene_groups"])
 def test_query_without_sql_runs(spark, name):
     assert entry.queries()[name](spark, DATA).count() >= 0
 

@@ -151,3 +151,31 @@ def test_zero_is_the_best_evalue(spark):
     exp, mant = ordered_evalue(F.col("m"), F.col("e"))
     df = spark.createDataFrame([(0.0, 0), (0.0, -7), (5.0, -200)], "m double, e int").select(exp.alias("a"), mant.alias("b"))
     assert [tuple(r) for r in df.orderBy("a", "b").collect()] == [(-(2**31), 0.0), (-(2**31), 0.0), (-200, 5.0)]
+
+
+def test_conflicting_raw_scores_are_an_error(spark):
+    df = lambda *rows: spark.createDataFrame(rows, "a string, b string, s double")
+    assert [tuple(r) for r in pairs.raw_dedupe(df(("x", "y", 1.0), ("x", "y", 1.0 + 1e-12)), ["a", "b"], "s").collect()] == [("x", "y", 1.0)]
+    with pytest.raises(Exception, match="differ"):
+        pairs.raw_dedupe(df(("x", "y", 1.0), ("x", "y", 1.1)), ["a", "b"], "s").collect()
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 20, None])
+def test_runs_in_chunks(spark, chunk):
+    draw = random.Random(4)
+    rows = [(i * 2, draw.choice(["f", "f", "f", "g", None]), draw.choice("ab"), draw.choice("xy"), "z") for i in range(120)]
+    got = {r.line_id: r.run for r in hsp.runs(spark.createDataFrame(rows, "line_id bigint, file_name string, query_id string, subject_id string, _chunk string").drop("_chunk"), chunk_rows=chunk).collect()}
+    want, last = {}, {}
+    for line, file, q, s, _ in rows:
+        if file:
+            number, pair = last.get(file, (0, None))
+            last[file] = (number + (pair != (q, s)), (q, s))
+            want[line] = last[file][0]
+    assert got == want
+
+
+def test_covered_residues(spark):
+    spans = [[], [(1, 5)], [(1, 5), (5, 9)], [(1, 20), (3, 4)], [(2, 3), (7, 9)], [(-4, 0), (0, 0)]]
+    df = spark.createDataFrame([(i, [(min(s), max(s)) for s in x]) for i, x in enumerate(spans)], "i int, s array<struct<lo bigint, hi bigint>>")
+    got = {r.i: r.n for r in df.select("i", hsp.covered(F.array_sort("s")).alias("n")).collect()}
+    assert got == {i: len({y for a, b in x for y in range(a, b + 1)}) for i, x in enumerate(spans)}
