@@ -110,20 +110,22 @@ def _small(arcs: DataFrame, cfg: FlowConfig, kind: str) -> DataFrame:
     return arcs.groupBy("component").applyInPandas(run, f"cluster_id {kind}, node {kind}")
 
 
-def expand_pruned(m: DataFrame, cfg: FlowConfig) -> tuple[DataFrame, DataFrame]:
-    """(the square of m with pruned columns that sum to 1, (src, chaos))."""
-    e = gr.multiply(m, m)
-    order = Window.partitionBy("src").orderBy(F.desc("weight"))
+def expand_pruned(m: DataFrame, cfg: FlowConfig, power: float = 1.0) -> DataFrame:
+    """(src, dst, weight, chaos): the square of m with pruned columns, raised to ``power``, that sum to 1.
+
+    The square is shuffled once by column; all else is done there by windows over a column, which
+    has as many entries as the square gives it before pruning."""
+    column, falling = Window.partitionBy("src"), Window.partitionBy("src").orderBy(F.desc("weight"))
     bar = 0.99999 / cfg.prune
-    ranked = e.withColumn("_r", F.rank().over(order))
-    stats = ranked.groupBy("src").agg(
-        F.max("weight").alias("most"), F.sum(F.col("weight") ** 2).alias("centre"),
-        F.count(F.when(F.col("weight") >= bar, 1)).alias("n"), F.sum(F.when(F.col("weight") >= bar, F.col("weight")).otherwise(0.0)).alias("mass"),
-        F.min(F.when(F.col("_r") <= cfg.select, F.col("weight"))).alias("select_bar"), F.count(F.when(F.col("_r") <= cfg.select, 1)).alias("select_n"),
-        F.sum(F.when(F.col("_r") <= cfg.select, F.col("weight"))).alias("select_mass"), (F.max(F.when(F.col("_r") <= cfg.select, F.col("_r"))) - 1).alias("above_n"),
-        F.min(F.when(F.col("_r") <= cfg.recover, F.col("weight"))).alias("recover_bar"),
+    w, rank = F.col("weight"), F.col("_r")
+    of = lambda rows, value, agg: agg(F.when(rows, value)).over(column)
+    first, most = rank <= cfg.select, F.max("weight").over(column)
+    judged = gr.multiply(m, m).withColumn("_r", F.rank().over(falling)).select(
+        *gr.ARC, "weight", most.alias("most"), F.sum(w * w).over(column).alias("centre"),
+        of(w >= bar, 1, F.count).alias("n"), F.coalesce(of(w >= bar, w, F.sum), F.lit(0.0)).alias("mass"),
+        of(first, w, F.min).alias("select_bar"), of(first, 1, F.count).alias("select_n"), of(first, w, F.sum).alias("select_mass"), (of(first, rank, F.max) - 1).alias("above_n"),
+        of(rank <= cfg.recover, w, F.min).alias("recover_bar"),
     )
-    w = F.col("weight")
     recover = (F.col("n") < cfg.recover) & (F.col("mass") < cfg.mass)
     ties = (F.col("select_n") <= cfg.select) | (F.col("select_bar") == F.col("most"))  # those at the bar stay
     chosen = (w > F.col("select_bar")) | (ties & (w >= F.col("select_bar")))
@@ -132,17 +134,16 @@ def expand_pruned(m: DataFrame, cfg: FlowConfig) -> tuple[DataFrame, DataFrame]:
     again = (chosen_n < cfg.recover) & (chosen_mass < cfg.mass)
     select = (w >= bar) & F.when(again, w >= F.col("recover_bar")).otherwise(chosen)
     keep = F.when(recover, w >= F.col("recover_bar")).when(F.col("n") > cfg.select, select).otherwise(w >= bar)
-    kept = ranked.join(stats, "src").where(keep)
-    sums = kept.groupBy("src").agg(F.sum("weight").alias("s"), F.count(F.lit(1)).alias("k"), F.max("most").alias("most"), F.max("centre").alias("centre"))
-    scaled = kept.select(*gr.ARC, "weight").join(sums.select("src", "s"), "src").select(*gr.ARC, (w / F.col("s")).alias("weight"))
-    return scaled, sums.select("src", ((F.col("most") - F.col("centre")) * F.col("k")).alias("chaos"))
+    chaos = ((F.col("most") - F.col("centre")) * F.count(F.lit(1)).over(column)).alias("chaos")
+    kept = judged.where(keep).select(*gr.ARC, F.pow(w / F.sum(w).over(column), F.lit(float(power))).alias("weight"), chaos)
+    return kept.select(*gr.ARC, (w / F.sum(w).over(column)).alias("weight"), "chaos")
 
 
 def _by_size(m: DataFrame, small: int, extra: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Arcs of components of at most ``small`` nodes, with their component; and the other arcs."""
     parts = checkpointed(gr.components(m, extra))
     sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    sized = checkpointed(m.join(parts.withColumnRenamed("node", "src"), "src").join(sizes, "component"))
+    sized = checkpointed(m.select(*gr.ARC, "weight").join(parts.withColumnRenamed("node", "src"), "src").join(sizes, "component"))
     return sized.where(F.col("size") <= small).drop("size"), sized.where(F.col("size") > small).select(*gr.ARC, "weight")
 
 
@@ -152,12 +153,10 @@ def _large(m: DataFrame, cfg: FlowConfig, kind: str, small: int, trace: list | N
     done = []
     worst = None
     for i in range(1, cfg.most_rounds + 1):
-        scaled, chaos = expand_pruned(m, cfg)
-        both = checkpointed(scaled.join(chaos, "src"))
-        arcs, worst = both.agg(F.count(F.lit(1)), F.max("chaos")).first()
+        m = checkpointed(expand_pruned(m, cfg, cfg.power(i - 1)), m)
+        arcs, worst = m.agg(F.count(F.lit(1)), F.max("chaos")).first()
         if trace is not None:
             trace.append({"round": i, "arcs": arcs, "chaos": worst})
-        m = checkpointed(gr.inflate(both.select(*gr.ARC, "weight"), cfg.power(i - 1)), m, both)
         if worst is None or (worst < cfg.chaos and i > cfg.initial_rounds):
             break
         if i % LOOK == 0 and small and i >= cfg.initial_rounds:

@@ -16,8 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.operators.skew import salted_join
-from kinweave.session import checkpointed, release
+from kinweave.operators.skew import hot_values, salted_join
+from kinweave.session import checkpointed
 
 ARC = ["src", "dst"]
 
@@ -385,12 +385,13 @@ def components(g: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     while True:
         sym = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        # the centre of a star may own a third of all edges: its rows are salted in both joins
-        large = checkpointed(salted_join(sym.where("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        # the centre of a star may own a third of all edges: its rows are salted in both joins; a node has
+        # no more rows in the second than here
+        hot = hot_values(sym, F.xxhash64("u"), 1 / 800)
+        large = salted_join(sym.where("v > u"), least, ["u"], hot=hot).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
-        edges = checkpointed(salted_join(large, lowest, ["u"]).select(hung.alias("e")).select("e.u", "e.v").where("u <> v").distinct(), edges)
-        release(large)
+        edges = checkpointed(salted_join(large, lowest, ["u"], hot=hot).select(hung.alias("e")).select("e.u", "e.v").where("u <> v").distinct(), edges)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == seen:
             break

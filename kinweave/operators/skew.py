@@ -41,12 +41,13 @@ def every_salt(key: Column, hot: list, salts: int) -> Column:
     return F.when(key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 32) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 32, hot: list | None = None) -> DataFrame:
     """Equi-join in which rows of ``left`` whose key is hot are spread over ``salts`` tasks.
 
-    ``right`` is repeated for hot keys only, of which there are at most a few hundred."""
+    ``right`` is repeated for hot keys only, of which there are at most a few hundred. ``hot``: the
+    hashes of hot keys, if known."""
     key = F.xxhash64(*on)
-    hot = hot_values(left, key)
+    hot = hot_values(left, key) if hot is None else hot
     if not hot:
         return left.join(right, on, how)
     row = F.xxhash64(*[c for c, kind in left.dtypes if not kind.startswith("map")])

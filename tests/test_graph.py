@@ -114,7 +114,7 @@ def column_supports(spark, arcs, cfg):
     for r in m.collect():
         dense[r.dst, r.src] = r.weight
     kernel = np.apply_along_axis(flow.prune_column, 0, dense @ dense, cfg)
-    loop = {(r.src, r.dst) for r in flow.expand_pruned(m, cfg)[0].collect()}
+    loop = {(r.src, r.dst) for r in flow.expand_pruned(m, cfg).collect()}
     return {(j, i) for i, j in zip(*np.nonzero(kernel), strict=True)}, loop
 
 
