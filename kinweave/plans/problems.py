@@ -129,6 +129,19 @@ j AS (SELECT line_id, v, good AND len(v) = 12 AND trim(v[1], E' \t\r') <> '' AND
   AND regexp_matches(v[12], num) AND NOT coalesce(try_cast(v[12] AS DOUBLE) < 0, false) ok FROM c, n)
 """
 
+def _reason(pos: int, name: str, kind: str, low: float | None, high: float | None) -> str:
+    """The reason why a column breaks its rule, or null."""
+    v, number = f"v[{pos + 1}]", "'^[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?$'"
+    shape = {
+        "id": f"trim({v}, E' \\t\\r') = '' THEN 'empty id'",
+        "digits": f"NOT regexp_matches({v}, '^[0-9]+$') THEN 'not digits'",
+        "number": f"NOT regexp_matches({v}, {number}) THEN 'not a number'",
+        "evalue": f"NOT (regexp_matches({v}, {number}) OR regexp_matches({v}, '^[eE][+-]?[0-9]+$')) THEN 'not a number'",
+    }[kind]
+    bounds = (f" WHEN try_cast({v} AS DOUBLE) < {low} THEN 'too small'" if low is not None else "") + (f" WHEN try_cast({v} AS DOUBLE) > {high} THEN 'too large'" if high is not None else "")
+    return f"'{name}: ' || CASE WHEN {shape}{bounds} END"
+
+
 _COUNTS = ("length", "mismatch", "gapopen", "q_start", "q_end", "s_start", "s_end")
 
 _SPANS = f"""
@@ -154,6 +167,10 @@ b AS (SELECT q, CASE WHEN m = 0 THEN -2147483648 ELSE e END e, m, row_number() O
 SELECT r.q query_id, count(*) n_records, min(record_id) first_record, max(record_id) last_record, any_value(b.e)::INT best_exp, any_value(b.m) best_mant, any_value(longest) longest_streak
 FROM r JOIN x ON x.q = r.q LEFT JOIN b ON b.q = r.q AND b.k = 1 GROUP BY r.q""",
     "p4_found": _CELLS + "SELECT line_id FROM j WHERE NOT ok",
+    "p4_rejects": _CELLS
+    + """, w AS (SELECT line_id, CASE WHEN NOT good THEN 'stray quote' WHEN len(v) < 12 THEN 'too few fields' WHEN len(v) > 12 THEN 'too many fields' ELSE array_to_string(list_sort(list_filter(["""
+    + ", ".join(_reason(*rule) for rule in parsing.RULES)
+    + """], lambda x: x IS NOT NULL)), '; ') END reasons FROM c) SELECT line_id, reasons FROM w WHERE reasons <> ''""",
     "p4_hits": _CELLS
     + r"""SELECT line_id, trim(v[1], E' \t\r') query_id, trim(v[2], E' \t\r') subject_id, v[3]::DOUBLE percent_identity, """
     + ", ".join(f"try_cast(v[{i}] AS BIGINT) {n}" for i, n in enumerate(_COUNTS, 4))
