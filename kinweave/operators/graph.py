@@ -231,10 +231,48 @@ def cap_degrees(g: DataFrame, k: int) -> DataFrame:
     return kept.join(transpose(kept).select(*ARC), ARC, "left_semi")
 
 
+def draw(seed: int) -> Column:
+    """A number in [0, 1) for each pair of nodes, the same in every run and for both directions."""
+    ends = F.least(*ARC).cast("string"), F.greatest(*ARC).cast("string")
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *ends)), 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
 def sampled(g: DataFrame, keep: float, seed: int = 1) -> DataFrame:
     """A part of the arcs, the same in every run, an arc and its reverse together."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.least(*ARC), F.greatest(*ARC)), F.lit(1_000_000)) / 1_000_000
-    return g.where(draw < keep)
+    return g.where(draw(seed) < keep)
+
+
+def arc_cosine(g: DataFrame) -> DataFrame:
+    """Existing arcs, loops aside, weighted by the cosine of the columns of their ends.
+
+    What both ends lead to is looked up from the end with fewer arcs, so that a hub is not paired
+    with itself for each of its neighbours."""
+    size = g.groupBy("src").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("weight") * F.col("weight")).alias("_q"))
+    own = lambda end, k: size.select(F.col("src").alias(end), F.col("_n").alias(f"_n{k}"), F.col("_q").alias(f"_q{k}"))
+    pairs = drop_loops(g).select(F.least(*ARC).alias("_a"), F.greatest(*ARC).alias("_b")).distinct()
+    pairs = salted_join(pairs, own("_a", 1), ["_a"]).join(own("_b", 2), "_b")
+    fewer = F.struct("_n1", "_a") < F.struct("_n2", "_b")
+    ends = pairs.select("_a", "_b", F.sqrt(F.col("_q1") * F.col("_q2")).alias("_norm"), F.when(fewer, F.col("_a")).otherwise(F.col("_b")).alias("_x"), F.when(fewer, F.col("_b")).otherwise(F.col("_a")).alias("_y"))
+    leads = lambda end, w: g.select(F.col("src").alias(end), F.col("dst").alias("_k"), F.col("weight").alias(w))
+    met = salted_join(ends, leads("_x", "_w1"), ["_x"]).join(leads("_y", "_w2"), ["_y", "_k"])
+    cosine = met.groupBy("_a", "_b").agg((F.sum(F.col("_w1") * F.col("_w2")) / F.max("_norm")).alias("_c"))
+    arcs = drop_loops(g).select(*ARC, F.least(*ARC).alias("_a"), F.greatest(*ARC).alias("_b"))
+    return nonzero(arcs.join(cosine, ["_a", "_b"]).select(*ARC, F.col("_c").alias("weight")))
+
+
+def perturbed(g: DataFrame, radius: float, by: str = "draw", seed: int = 1) -> DataFrame:
+    """Weights multiplied by 1 + radius x f; f is a number in [-1, 1) drawn for each pair of nodes
+    ('draw'), or the cosine of the columns of both ends, 0 where they share nothing ('cosine')."""
+    if by == "draw":
+        return g.withColumn("weight", F.col("weight") * (1 + radius * (2 * draw(seed) - 1)))
+    own = arc_cosine(g).select(*ARC, F.col("weight").alias("_c"))
+    factor = 1 + radius * F.when(F.col("src") == F.col("dst"), 1.0).otherwise(_zero("_c"))
+    return g.join(own, ARC, "left").select(*ARC, (F.col("weight") * factor).alias("weight"))
+
+
+def diagonal(g: DataFrame, value: float = 1.0) -> DataFrame:
+    """A loop of ``value`` for every node."""
+    return nodes(g).select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(float(value)).alias("weight"))
 
 
 def upper(g: DataFrame) -> DataFrame:
@@ -306,6 +344,9 @@ GRAPHS: dict[str, Callable[[DataFrame, float], DataFrame]] = {
     "upper": lambda g, x: upper(g),
     "lower": lambda g, x: lower(g),
     "sampled": lambda g, x: sampled(g, x),
+    "perturbed": lambda g, x: perturbed(g, x),
+    "perturbed_by_cosine": lambda g, x: perturbed(g, x, "cosine"),
+    "diagonal": lambda g, x: diagonal(g, x),
 }
 
 

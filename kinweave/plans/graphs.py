@@ -145,6 +145,20 @@ def _path_ends(g: DataFrame) -> DataFrame:
     return placed.join(following, "place").select(F.col("node").alias("source"), "target")
 
 
+_DRAW = "(('0x' || substr(md5('1|' || least(src, dst) || '|' || greatest(src, dst)), 1, 8))::UBIGINT / 4294967296.0)"
+_on_graph("sampled_arcs", lambda g: gr.sampled(g, 0.3), f"SELECT src, dst, {_W} FROM g WHERE {_DRAW} < 0.3")
+_on_graph("perturbed_by_draw", lambda g: gr.perturbed(g, 0.2), f"SELECT src, dst, round(w * (1 + 0.2 * (2 * {_DRAW} - 1)), 6) weight FROM g")
+_COSINE = """, q AS (SELECT src, sum(w * w) q FROM g GROUP BY src), p AS (SELECT DISTINCT least(src, dst) a, greatest(src, dst) b FROM g WHERE src <> dst),
+c AS (SELECT a, b, sum(x.w * y.w) / sqrt(any_value(s.q) * any_value(t.q)) c FROM p JOIN g x ON x.src = a JOIN g y ON y.src = b AND y.dst = x.dst JOIN q s ON s.src = a JOIN q t ON t.src = b GROUP BY a, b) """
+_on_graph("arc_cosine", gr.arc_cosine, _COSINE + "SELECT src, dst, round(c, 6) weight FROM g JOIN c ON a = least(src, dst) AND b = greatest(src, dst)")
+_on_graph(
+    "perturbed_by_cosine",
+    lambda g: gr.perturbed(g, 0.2, "cosine"),
+    _COSINE + "SELECT src, dst, round(w * (1 + 0.2 * CASE WHEN src = dst THEN 1 ELSE coalesce(c, 0) END), 6) weight FROM g LEFT JOIN c ON a = least(src, dst) AND b = greatest(src, dst)",
+)
+_on_graph("diagonal", gr.diagonal, "SELECT src, src dst, 1.0::DOUBLE weight FROM (SELECT src FROM g UNION SELECT dst FROM g)")
+
+
 # Networks.
 _U = """, u AS (SELECT DISTINCT least(src, dst) u, greatest(src, dst) v FROM g WHERE src <> dst), d AS (SELECT node, count(*) degree FROM (SELECT u node FROM u UNION ALL SELECT v FROM u) GROUP BY node),
 t AS (SELECT x.u a, x.v b, y.v c FROM u x JOIN u y ON x.v = y.u JOIN u z ON z.u = x.u AND z.v = y.v) """
