@@ -156,14 +156,22 @@ def stretch_distance(passage: list[str], stretch: list[str], most: int) -> int:
         return 0
     if not most or len(set(passage) - set(stretch)) > most:
         return most + 1
-    row = list(range(len(stretch) + 1))
-    for i, x in enumerate(passage, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(stretch, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    far, n = most + 1, len(stretch)
+    row = [j if j <= most else far for j in range(n + 1)]
+    for i, x in enumerate(passage, 1):  # only cells near the diagonal can be within reach
+        above, row = row, [far] * (n + 1)
+        if i <= most:
+            row[0] = i
+        for j in range(max(1, i - most), min(n, i + most) + 1):
+            cell = above[j - 1] + (x != stretch[j - 1])
+            if above[j] < cell:
+                cell = above[j] + 1
+            if row[j - 1] < cell:
+                cell = row[j - 1] + 1
+            row[j] = cell
         if min(row) > most:
-            return most + 1
-    return min(min(row), most + 1)
+            return far
+    return min(*row, far)
 
 
 def passages(items: DataFrame, short: bool) -> DataFrame:
@@ -262,7 +270,8 @@ def _verified(candidates: DataFrame, edits: int) -> DataFrame:
 
     if not edits:
         return candidates.where("stretch = passage").select("stretch", "passage", F.lit(0).alias("distance"))
-    judged = candidates.withColumn("distance", distance("passage", "stretch"))
+    # called nondeterministic so that it is not moved below the removal of repeated pairs, and runs once
+    judged = candidates.withColumn("distance", distance.asNondeterministic()("passage", "stretch"))
     return judged.where(F.col("distance") <= F.least(F.lit(edits), F.floor(F.col("size") / 6))).select("stretch", "passage", "distance")
 
 
