@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.operators.graph import nodes
+from kinweave.operators.ranks import quantiles
 from kinweave.session import numbered_rows
 
 
@@ -245,7 +246,8 @@ def collected(results: dict[str, DataFrame], key: str, value: str) -> DataFrame:
     for df in results.values():
         one = df.select(key, F.col(value).cast("double").alias("v"))
         rows = one if rows is None else rows.unionByName(one)
-    return rows.groupBy(key).agg(F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.avg("v").alias("mean"), F.percentile("v", F.lit(0.5)).alias("median"))
+    sums = rows.groupBy(key).agg(F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.avg("v").alias("mean"))
+    return sums.join(quantiles(rows, key, "v", {"median": 0.5}), key, "left")
 
 
 def lines(named: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.operators.ranks import quantiles
 from kinweave.operators.skew import hot_values, salted_join
 from kinweave.session import checkpointed
 
@@ -177,11 +178,12 @@ def step(g: DataFrame, squarings: int = 1) -> DataFrame:
 
 def column_stats(g: DataFrame) -> DataFrame:
     """Per node: degree, sum, power sum, mean, extremes, and quartiles of its weights."""
-    q = lambda p: F.percentile("weight", F.lit(p))
-    return g.groupBy(F.col("src").alias("node")).agg(
+    sums = g.groupBy(F.col("src").alias("node")).agg(
         F.count(F.lit(1)).alias("degree"), F.sum("weight").alias("total"), F.sum(F.col("weight") * F.col("weight")).alias("power_sum"),
-        F.avg("weight").alias("mean"), F.min("weight").alias("least"), F.max("weight").alias("most"), q(0.5).alias("median"), (q(0.75) - q(0.25)).alias("iqr"),
+        F.avg("weight").alias("mean"), F.min("weight").alias("least"), F.max("weight").alias("most"),
     )
+    quarters = quantiles(g.select(F.col("src").alias("node"), "weight"), "node", "weight", {"_q1": 0.25, "median": 0.5, "_q3": 0.75})
+    return sums.join(quarters, "node").select(*sums.columns, "median", (F.col("_q3") - F.col("_q1")).alias("iqr"))
 
 
 def top_k(g: DataFrame, k: int) -> DataFrame:

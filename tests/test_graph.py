@@ -9,6 +9,7 @@ from kinweave.config import FlowConfig
 from kinweave.operators import clusters as cl
 from kinweave.operators import flow, network, vectors
 from kinweave.operators import graph as gr
+from kinweave.operators.ranks import quantiles
 from kinweave.plans import graphs
 
 ARCS = "src bigint, dst bigint, weight double"
@@ -269,6 +270,33 @@ def test_a_star_that_owns_most_edges_is_one_component(spark):
     assert {tuple(r) for r in gr.components(graph(spark, arcs)).collect()} == union_find(arcs)
 
 
+def test_quantiles(spark):
+    draw = random.Random(12)
+    groups = {k: [float(draw.randrange(6)) for _ in range(draw.randrange(1, 30))] for k in range(12)}
+    rows = [(k, v) for k, vs in groups.items() for v in vs] + [(0, None), (0, float("nan")), (77, None)]
+    got = quantiles(spark.createDataFrame(rows, "k int, v double"), "k", "v", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}).collect()
+    assert len(got) == 12
+    for r in got:
+        assert np.allclose([r.a, r.b, r.c, r.d, r.e], np.quantile(groups[r.k], [0, 0.25, 0.5, 0.9, 1]))
+
+
+def test_arc_cosines_and_perturbed_weights(spark):
+    arcs = [(0, i, float(1 + i % 5)) for i in range(1, 300)] + [(1, 2, 2.0), (1, 3, 1.0), (2, 3, 4.0), (2, 0, 1.0), (3, 3, 2.0), (0, 1, 2.0)]
+    arcs = [(a, b, w) for (a, b), w in {(a, b): w for a, b, w in arcs}.items()]
+    g, m = graph(spark, arcs), np.zeros((300, 300))
+    for a, b, w in arcs:
+        m[a, b] = w
+    norm = np.sqrt((m * m).sum(1))
+    want = {(a, b): m[a] @ m[b] / norm[a] / norm[b] for a, b, _ in arcs if a != b and norm[a] * norm[b] and m[a] @ m[b]}
+    got = {(r.src, r.dst): r.weight for r in gr.arc_cosine(g).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - w) < 1e-12 for k, w in want.items())
+    moved = {(r.src, r.dst): r.weight for r in gr.perturbed(g, 0.1, "cosine").collect()}
+    assert all(abs(moved[a, b] - w * (1 + 0.1 * (1 if a == b else want.get((a, b), 0)))) < 1e-12 for a, b, w in arcs)
+    drawn = as_set(gr.perturbed(g, 0.1))
+    assert len(drawn) == len(arcs) and drawn == as_set(gr.perturbed(g, 0.1)) and all(abs(x / m[a, b] - 1) <= 0.1 for a, b, x in drawn)
+    assert as_set(gr.diagonal(graph(spark, [(1, 2, 1.0)]))) == {(1, 1, 1.0), (2, 2, 1.0)}
+
+
 def brandes(arcs, sources):
     nodes = {x for a, b, _ in arcs for x in (a, b)}
     near = {x: {b for a, b, _ in arcs if a == x and b != x} for x in nodes}
