@@ -105,24 +105,40 @@ def eccentricity(g: DataFrame, sources: DataFrame, most: int | None = None) -> D
     return distances(g, sources, most).groupBy(F.col("source").alias("node")).agg(F.max("depth").alias("eccentricity"), F.count(F.lit(1)).alias("reached"))
 
 
-def betweenness(g: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
-    """(node, score): shortest paths from the sources that pass through a node, each node pair
-    sharing one unit among its paths. Depths are gone through backwards, a join each."""
+def _flows(g: DataFrame, sources: DataFrame, most: int | None) -> list[DataFrame]:
+    """Per depth from the deepest up: (source, node, dst, flow), how much of one unit for each node that
+    a source reaches goes over the arc from node to dst on shortest paths, and the nodes' depth."""
     arcs = g.where("src <> dst").select("src", "dst").distinct()
     reached = checkpointed(distances(g, sources, most))
     deepest = reached.agg(F.max("depth")).first()[0] or 0
     level = lambda k: reached.where(F.col("depth") == k).select("source", "node", "paths")
     below = level(deepest).withColumn("share", F.lit(0.0))
     found = []
-    for k in range(deepest - 1, 0, -1):
+    for k in range(deepest - 1, -1, -1):
         carried = below.select("source", F.col("node").alias("dst"), ((1 + F.col("share")) / F.col("paths")).alias("unit"))
         passed = level(k).join(arcs.withColumnRenamed("src", "node"), "node").join(carried, ["source", "dst"])
-        shares = passed.groupBy("source", "node").agg(F.sum(F.col("paths") * F.col("unit")).alias("share"))
-        below = checkpointed(level(k).join(shares, ["source", "node"], "left").select("source", "node", "paths", F.coalesce("share", F.lit(0.0)).alias("share")))
-        found.append(below)
+        flow = checkpointed(passed.select("source", "node", "dst", (F.col("paths") * F.col("unit")).alias("flow"), F.lit(k).alias("depth")))
+        shares = flow.groupBy("source", "node").agg(F.sum("flow").alias("share"))
+        below = level(k).join(shares, ["source", "node"], "left").select("source", "node", "paths", F.coalesce("share", F.lit(0.0)).alias("share"))
+        found.append(flow)
+    return found
+
+
+def betweenness(g: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
+    """(node, score): shortest paths from the sources that pass through a node, each node pair
+    sharing one unit among its paths. Depths are gone through backwards, a join each."""
+    found = _flows(g, sources, most)
+    if not found:
+        return gr.nodes(g).select("node", F.lit(0.0).alias("score")).limit(0)
+    return reduce(DataFrame.unionByName, found).where("depth > 0").groupBy("node").agg(F.sum("flow").alias("score")).where("score > 0")
+
+
+def edge_betweenness(g: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
+    """(src, dst, weight): the same for arcs, those that leave a source included."""
+    found = _flows(g, sources, most)
     if not found:
-        return reached.select("node", F.lit(0.0).alias("score")).limit(0)
-    return reduce(DataFrame.unionByName, found).groupBy("node").agg(F.sum("share").alias("score")).where("score > 0")
+        return g.select("src", "dst", F.lit(0.0).alias("weight")).limit(0)
+    return reduce(DataFrame.unionByName, found).groupBy(F.col("node").alias("src"), "dst").agg(F.sum("flow").alias("weight"))
 
 
 def shortest_path_nodes(g: DataFrame, pairs: DataFrame, most: int | None = None) -> DataFrame:

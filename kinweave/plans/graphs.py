@@ -211,15 +211,17 @@ _D = f""", {SEARCHED_SQL}, r(source, node, depth) USING KEY (source, node) AS (S
   UNION SELECT DISTINCT r.source, g.dst, r.depth + 1 FROM r JOIN g ON g.src = r.node WHERE NOT EXISTS (SELECT 1 FROM recurring.r o WHERE o.source = r.source AND o.node = g.dst)) """
 _on_graph("bfs_depth", lambda g: network.distances(g, searched(g)).select("source", "node", "depth"), _D + "SELECT source, node, depth FROM r")
 _on_graph("eccentricity", lambda g: network.eccentricity(g, searched(g)), _D + "SELECT source node, max(depth) eccentricity, count(*) reached FROM r GROUP BY source")
-_on_graph(
-    "betweenness",
-    lambda g: network.betweenness(g, searched(g)),
-    _D + """, p(source, node, depth, paths) AS (SELECT source, node, 0, 1.0::DOUBLE FROM r WHERE depth = 0
+_BETWEEN = _D + """, p(source, node, depth, paths) AS (SELECT source, node, 0, 1.0::DOUBLE FROM r WHERE depth = 0
   UNION ALL SELECT p.source, r.node, p.depth + 1, sum(p.paths) FROM p JOIN g ON g.src = p.node JOIN r ON r.source = p.source AND r.node = g.dst AND r.depth = p.depth + 1 GROUP BY 1, 2, 3),
 b(lev, source, node, paths, share) AS (SELECT depth, source, node, paths, 0.0::DOUBLE FROM p WHERE depth = (SELECT max(depth) FROM p)
   UNION ALL SELECT p.depth, p.source, p.node, p.paths, sum(CASE WHEN c.node IS NULL THEN 0 ELSE p.paths / c.paths * (1 + c.share) END)
-  FROM (SELECT max(lev) - 1 lev FROM b) l JOIN p ON p.depth = l.lev LEFT JOIN g ON g.src = p.node LEFT JOIN b c ON c.source = p.source AND c.node = g.dst WHERE l.lev > 0 GROUP BY 1, 2, 3, 4)
-SELECT node, round(sum(share), 6) score FROM b WHERE lev > 0 GROUP BY node HAVING sum(share) > 0""",
+  FROM (SELECT max(lev) - 1 lev FROM b) l JOIN p ON p.depth = l.lev LEFT JOIN g ON g.src = p.node LEFT JOIN b c ON c.source = p.source AND c.node = g.dst WHERE l.lev > 0 GROUP BY 1, 2, 3, 4) """
+_on_graph("betweenness", lambda g: network.betweenness(g, searched(g)), _BETWEEN + "SELECT node, round(sum(share), 6) score FROM b WHERE lev > 0 GROUP BY node HAVING sum(share) > 0")
+_on_graph(
+    "edge_betweenness",
+    lambda g: network.edge_betweenness(g, searched(g)),
+    _BETWEEN + """SELECT g.src, g.dst, round(sum(x.paths / y.paths * (1 + y.share)), 6) weight FROM p x JOIN g ON g.src = x.node AND g.dst <> g.src
+JOIN b y ON y.source = x.source AND y.node = g.dst AND y.lev = x.depth + 1 GROUP BY 1, 2""",
 )
 _on_graph(
     "shortest_path_nodes",

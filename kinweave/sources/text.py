@@ -34,10 +34,10 @@ def _weight(cell: Column) -> Column:
     return F.when(usable, value).otherwise(1.0)
 
 
-def fasta(spark: SparkSession, path: str) -> DataFrame:
+def fasta(spark: SparkSession, path: str, glob: str = "*.fasta") -> DataFrame:
     """(file, taxon, header, sequence): one row per record, split at ``>`` by the reader, so that
-    files of any size are read in pieces."""
-    rows = spark.read.option("lineSep", "\n>").text(path).select("value", F.input_file_name().alias("file"))
+    files of any size are read in pieces. Only files that match ``glob`` and are not hidden are read."""
+    rows = spark.read.option("lineSep", "\n>").option("pathGlobFilter", glob).text(path).select("value", F.input_file_name().alias("file"))
     record = F.regexp_replace("value", r"^>", "")
     header = F.trim(F.regexp_extract(record, r"^([^\r\n]*)", 1))
     body = F.regexp_replace(F.regexp_replace(record, r"^[^\r\n]*", ""), r"\s+", "")
@@ -45,9 +45,15 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(F.col("value").rlike(r"\S")).select("file", taxon.alias("taxon"), header.alias("header"), body.alias("sequence"))
 
 
-def gene_lengths(records: DataFrame) -> DataFrame:
-    """(gene_id, taxon, length): the first word of the header and all characters of the sequence."""
-    return records.select(F.regexp_extract("header", r"^(\S+)", 1).alias("gene_id"), "taxon", F.length("sequence").alias("length"))
+def gene_lengths(records: DataFrame, strict: bool = False) -> DataFrame:
+    """(gene_id, taxon, length): the first word of the header and all characters of the sequence.
+
+    With ``strict`` an id that occurs twice is an error."""
+    rows = records.select(F.regexp_extract("header", r"^(\S+)", 1).alias("gene_id"), "taxon", F.length("sequence").alias("length"))
+    if not strict:
+        return rows
+    once = rows.groupBy("gene_id").agg(F.min("taxon").alias("taxon"), F.min("length").alias("length"), F.count(F.lit(1)).alias("_k"))
+    return once.where(F.assert_true(F.col("_k") == 1, F.lit("an id occurs twice")).isNull()).drop("_k")
 
 
 def similarities(df: DataFrame, line: str = "value") -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from kinweave.functions import fasta
@@ -15,7 +16,12 @@ def test_fasta_round_trip(spark, tmp_path):
     assert [(r.taxon, r.header, len(r.sequence)) for r in rows.collect()] == [("abc", "abc|1 x", 4), ("abc", "abc|2", 130)]
     assert {(r.gene_id, r.length) for r in text.gene_lengths(rows).collect()} == {("abc|1", 4), ("abc|2", 130)}
     sinks.write(sinks.fasta_lines(rows), str(tmp_path / "out"))
-    again = text.fasta(spark, str(tmp_path / "out")).orderBy("header")
+    (tmp_path / "in" / "notes.txt").write_text(">no|1\nMK\n")
+    assert text.fasta(spark, str(tmp_path / "in")).count() == 2
+    assert text.gene_lengths(rows, strict=True).count() == 2
+    with pytest.raises(Exception, match="occurs twice"):
+        text.gene_lengths(rows.unionByName(rows), strict=True).collect()
+    again = text.fasta(spark, str(tmp_path / "out"), "*").orderBy("header")
     assert [(r.header, r.sequence) for r in again.collect()] == [(r.header, r.sequence) for r in rows.collect()]
 
 

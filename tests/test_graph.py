@@ -325,6 +325,7 @@ def test_betweenness_and_shortest_paths(spark):
     g = graph(spark, arcs)
     sources = spark.createDataFrame([(i,) for i in (0, 3, 7, 500)], "node bigint")
     assert {r.node: round(r.score, 9) for r in network.betweenness(g, sources, 30).collect()} == brandes(arcs, (0, 3, 7))
+    assert {tuple(r) for r in network.edge_betweenness(graph(spark, [(0, 1, 1.0), (0, 2, 1.0), (1, 3, 1.0), (2, 3, 1.0)]), sources).collect()} == {(0, 1, 1.5), (0, 2, 1.5), (1, 3, 0.5), (2, 3, 0.5)}
     line = graph(spark, [(1, 2, 1.0), (2, 3, 1.0), (1, 4, 1.0), (4, 3, 1.0), (3, 5, 1.0)])
     asked = spark.createDataFrame([(1, 5)], "source bigint, target bigint")
     assert {(r.node, r.depth) for r in network.shortest_path_nodes(line, asked, 9).collect()} == {(1, 0), (2, 1), (4, 1), (3, 2), (5, 3)}
