@@ -261,7 +261,10 @@ def _met(corpus: DataFrame, index: DataFrame, walks: dict[int, Walks], edits: in
 
 
 def _verified(candidates: DataFrame, edits: int) -> DataFrame:
-    """(stretch, passage, distance) of the candidates within the edits that their size allows."""
+    """(stretch, passage, distance) of the candidates within the edits that their size allows, each once.
+
+    Pairs that meet often come from many keys. They are judged where they meet, as most candidates
+    fail: first by the words that the stretch lacks, then by the distance."""
 
     @F.pandas_udf("int")
     def distance(passage: pd.Series, stretch: pd.Series) -> pd.Series:
@@ -269,10 +272,12 @@ def _verified(candidates: DataFrame, edits: int) -> DataFrame:
         return pd.Series([stretch_distance(p, s, allowed(len(p), edits)) for p, s in pairs], dtype="int32")
 
     if not edits:
-        return candidates.where("stretch = passage").select("stretch", "passage", F.lit(0).alias("distance"))
-    # called nondeterministic so that it is not moved below the removal of repeated pairs, and runs once
-    judged = candidates.withColumn("distance", distance.asNondeterministic()("passage", "stretch"))
-    return judged.where(F.col("distance") <= F.least(F.lit(edits), F.floor(F.col("size") / 6))).select("stretch", "passage", "distance")
+        return candidates.where("stretch = passage").select("stretch", "passage", F.lit(0).alias("distance")).distinct()
+    most = F.least(F.lit(edits), F.floor(F.col("size") / 6))
+    lacking = F.size(F.array_except(F.split("passage", " "), F.split("stretch", " ")))
+    # called nondeterministic so that it is computed once, not again for each use of its result
+    judged = candidates.where(lacking <= most).withColumn("distance", distance.asNondeterministic()("passage", "stretch"))
+    return judged.where(F.col("distance") <= most).select("stretch", "passage", "distance").distinct()
 
 
 def leaks(documents: DataFrame, items: DataFrame, edits: int = 0, recall: float = 0.9, short: bool = False) -> DataFrame:
@@ -295,7 +300,7 @@ def leaks(documents: DataFrame, items: DataFrame, edits: int = 0, recall: float
     corpus = spread(documents.where("doc_id IS NOT NULL AND text <> ''").select("doc_id", "text"))
     met = checkpointed(_met(corpus, index, walks, edits))
     asked = met.select("size", "stretch", F.explode("keys").alias("key")).distinct()
-    candidates = salted_join(asked, index, ["key", "size"]).select("size", "stretch", "passage").distinct()
+    candidates = salted_join(asked, index, ["key", "size"]).select("size", "stretch", "passage")
     near = checkpointed(_verified(candidates, edits))
     held = salted_join(met.select("doc_id", "stretch"), near, ["stretch"])
     rows = held.join(found.select("item_id", "at", "passage"), "passage")
