@@ -42,9 +42,9 @@ WINDOW = 12
 #: the worst kind of edit (see tests/llm/test_leakage.py): one and two words replaced, inserted or dropped.
 MEET = {0: 1.0, 1: 0.28, 2: 0.085}
 #: Bits of the bitmap per row of the index, and at most.
-BITS_EACH, MOST_BITS = 32, 1 << 27
+BITS_EACH, MOST_BITS = 256, 1 << 27
 #: Words that are embedded at a time, and known words kept in a task.
-CHUNK_WORDS, KNOWN_WORDS = 200_000, 500_000
+CHUNK_WORDS, KNOWN_WORDS = 50_000, 500_000
 
 _HYPHEN = re.compile(r"(?<=[^\W_])[-‐]\s*\n\s*(?=[^\W_])")
 _ROUND, _SQUARE = re.compile(r"\([^()]*\)"), re.compile(r"\[[^\[\]]*\]")
@@ -245,17 +245,16 @@ def _met(corpus: DataFrame, index: DataFrame, walks: dict[int, Walks], edits: in
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, bitmap = Hasher(), shared.value
         for batch in batches:
-            ids, texts, held, rows = [], [], 0, []
-            for doc, text in zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True):
+            ids, texts, held = [], [], 0
+            for place, (doc, text) in enumerate(zip(batch["doc_id"].tolist(), batch["text"].tolist(), strict=True), 1):
                 ids.append(doc)
                 texts.append(words(text))
                 held += len(texts[-1])
-                if held > CHUNK_WORDS:
-                    rows += met(ids, texts, hasher, bitmap)
+                if held > CHUNK_WORDS or place == len(batch):
+                    rows = list(met(ids, texts, hasher, bitmap))
+                    if rows:
+                        yield pd.DataFrame(rows, columns=["doc_id", "size", "stretch", "keys"])
                     ids, texts, held = [], [], 0
-            rows += met(ids, texts, hasher, bitmap)
-            if rows:
-                yield pd.DataFrame(rows, columns=["doc_id", "size", "stretch", "keys"])
 
     return corpus.mapInPandas(scan, "doc_id bigint, size int, stretch string, keys array<bigint>")
 
