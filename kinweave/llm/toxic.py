@@ -116,11 +116,15 @@ def unit_terms(documents: DataFrame) -> DataFrame:
     """(doc_id, label, n, terms), a row for each unit, n being its place; terms as text for the vocabulary."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = Terms()
+        hashed, names = Terms(), [str(t) for t in range(TERMS)]
+        types = (pa.int64(), pa.float64(), pa.int32(), pa.list_(pa.string()))
         for batch in batches:
-            rows = [(i, label, n, [str(t) for t in sorted(set(hashed(u)))]) for i, label, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "label", "text")), strict=True) for n, u in enumerate(units(text))]
-            columns = zip(*rows, strict=True) if rows else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.float64(), pa.int32(), pa.list_(pa.string())), strict=True)], ["doc_id", "label", "n", "terms"])
+            for begin in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(begin, TEXTS)
+                own = zip(*(part[c].to_pylist() for c in ("doc_id", "label", "text")), strict=True)
+                rows = [(i, label, n, [names[t] for t in sorted(set(hashed(u)))]) for i, label, text in own for n, u in enumerate(units(text))]
+                columns = zip(*rows, strict=True) if rows else ([], [], [], [])
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], ["doc_id", "label", "n", "terms"])
 
     return documents.select("doc_id", "label", "text").mapInArrow(read, "doc_id bigint, label double, n int, terms array<string>")
 
