@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinweave.config import FlowConfig
 from kinweave.operators import clusters as cl
-from kinweave.operators import flow, network, vectors
+from kinweave.operators import flow, network, searches, vectors
 from kinweave.operators import graph as gr
 from kinweave.operators.ranks import quantiles
 from kinweave.plans import graphs
@@ -404,3 +404,26 @@ def test_small_clusters_are_absorbed(spark):
     c = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (9, 4), (8, 5)], "cluster_id bigint, node bigint")
     g = gr.load(graph(spark, [(4, 1, 2.0), (4, 5, 9.0), (1, 2, 1.0)]))
     assert {tuple(r) for r in cl.absorb_small(g, c, 1).collect()} == {(1, 1), (1, 2), (1, 3), (1, 4), (8, 5)}
+
+
+def test_search_kernels_and_joins_agree(spark, monkeypatch):
+    arcs = [*random_arcs(8, 60, 150), (70, 70, 1.0), (100, 101, 1.0), (101, 102, 1.0), *[(0, i, 1.0) for i in range(1, 50)]]
+    g = graph(spark, arcs)
+    sources = spark.createDataFrame([(i,) for i in (*range(0, 58, 3), 70, 100, 500)], "node bigint")
+    asked = spark.createDataFrame([(0, 5), (3, 9), (3, 9), (100, 102), (5, 100), (9, 9), (4, None)], "source bigint, target bigint")
+    monkeypatch.setattr(searches, "CELLS", 400)  # several batches
+    for f, given, most in ((network.edge_betweenness, sources, None),):
+        one, other = (sorted(tuple(round(x, 9) for x in r) for r in f(g, given, most, kernel).collect()) for kernel in (True, False))
+        assert one == other != [], f
+    for f in (network.edge_betweenness,):
+        assert f(g.limit(0), sources).collect() == []
+
+
+@pytest.mark.parametrize("name", ["edge_betweenness"])
+def test_a_search_query_takes_no_join_per_level(spark, monkeypatch, name):
+    line = [(i, i + 1, 1.0) for i in range(400)]
+    monkeypatch.setattr(graphs, "similarity_graph", lambda s, d: graph(s, line))
+    monkeypatch.setattr(graphs, "searched", lambda g: g.sparkSession.createDataFrame([(0,), (400,)], "node bigint"))
+    monkeypatch.setattr(graphs, "_path_ends", lambda g: g.sparkSession.createDataFrame([(0, 400)], "source bigint, target bigint"))
+    monkeypatch.setattr(network, "distances", lambda *_: pytest.fail("searched by joins"))
+    assert graphs.QUERIES[name](spark, "").count() == {"bfs_depth": 402, "eccentricity": 2, "betweenness": 399, "edge_betweenness": 400, "shortest_path_nodes": 401}[name]
