@@ -412,14 +412,14 @@ def test_search_kernels_and_joins_agree(spark, monkeypatch):
     sources = spark.createDataFrame([(i,) for i in (*range(0, 58, 3), 70, 100, 500)], "node bigint")
     asked = spark.createDataFrame([(0, 5), (3, 9), (3, 9), (100, 102), (5, 100), (9, 9), (4, None)], "source bigint, target bigint")
     monkeypatch.setattr(searches, "CELLS", 400)  # several batches
-    for f, given, most in ((network.edge_betweenness, sources, None), (network.betweenness, sources, 3), (network.shortest_path_nodes, asked, 4), (network.depths, sources, 3)):
+    for f, given, most in ((network.edge_betweenness, sources, None), (network.betweenness, sources, 3), (network.shortest_path_nodes, asked, 4), (network.depths, sources, 3), (network.eccentricity, sources, 3)):
         one, other = (sorted(tuple(round(x, 9) for x in r) for r in f(g, given, most, kernel).collect()) for kernel in (True, False))
         assert one == other != [], f
-    for f in (network.depths, network.betweenness, network.edge_betweenness):
+    for f in (network.depths, network.eccentricity, network.betweenness, network.edge_betweenness):
         assert f(g.limit(0), sources).collect() == []
 
 
-@pytest.mark.parametrize("name", ["edge_betweenness", "betweenness", "shortest_path_nodes", "bfs_depth"])
+@pytest.mark.parametrize("name", ["edge_betweenness", "betweenness", "shortest_path_nodes", "bfs_depth", "eccentricity"])
 def test_a_search_query_takes_no_join_per_level(spark, monkeypatch, name):
     line = [(i, i + 1, 1.0) for i in range(400)]
     monkeypatch.setattr(graphs, "similarity_graph", lambda s, d: graph(s, line))
