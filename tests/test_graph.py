@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinweave.config import FlowConfig
 from kinweave.operators import clusters as cl
-from kinweave.operators import flow, network, searches, vectors
+from kinweave.operators import flow, network, products, searches, vectors
 from kinweave.operators import graph as gr
 from kinweave.operators.ranks import quantiles
 from kinweave.plans import graphs
@@ -427,3 +427,19 @@ def test_a_search_query_takes_no_join_per_level(spark, monkeypatch, name):
     monkeypatch.setattr(graphs, "_path_ends", lambda g: g.sparkSession.createDataFrame([(0, 400)], "source bigint, target bigint"))
     monkeypatch.setattr(network, "distances", lambda *_: pytest.fail("searched by joins"))
     assert graphs.QUERIES[name](spark, "").count() == {"bfs_depth": 402, "eccentricity": 2, "betweenness": 399, "edge_betweenness": 400, "shortest_path_nodes": 401}[name]
+
+
+def test_products_by_kernel_and_by_join_agree(spark, monkeypatch):
+    monkeypatch.setattr(products, "PATHS", 20)  # several pieces
+    arcs = [*random_arcs(4, 30, 90), *[(0, i, 0.5) for i in range(1, 30)], (40, 41, 1.0)]
+    cancelled = graph(spark, [(1, 2, 1.0), (1, 3, 1.0), (2, 4, 1.0), (3, 4, -1.0), (2, 5, 2.0)])
+    g = gr.load(graph(spark, arcs), mirror=False)
+    for a, b in ((g, g), (g, gr.transpose(g)), (cancelled, cancelled), (g.limit(0), g.limit(0))):
+        one, other = (sorted((r.src, r.dst, round(r.weight, 9)) for r in f(a, b).collect()) for f in (products.multiply, gr.multiply))
+        assert one == other
+
+
+def test_the_expansion_query_shuffles_no_products(spark, monkeypatch):
+    monkeypatch.setattr(graphs, "similarity_graph", lambda s, d: graph(s, [(0, 1, 1.0), (1, 2, 3.0), (1, 3, 1.0)]))
+    monkeypatch.setattr(gr, "multiply", lambda *_: pytest.fail("multiplied by a join"))
+    assert {tuple(r) for r in graphs.QUERIES["expand_once"](spark, "").collect()} == {(0, 2, 0.75), (0, 3, 0.25)}
