@@ -8,8 +8,10 @@ insult next to a person counts for more than either, and next to words of report
 
 A document's label says nothing about which of its units it is due to. So a machine is fitted to
 each of two halves of the labelled documents; the machine of one half picks, in each positive
-document of the other half, the unit it holds worst. These units and all units of negative
-documents are what the final machine learns from.
+document of the other half, the unit it holds worst. Two machines fitted to these units and all
+units of negative documents pick once more. Annotators err, and a few benign sentences learnt as abuse
+condemn all that share their words: a document that a single annotator holds positive and the machine of
+the other half does not is left out. The final machine learns from what remains.
 
 Labels are the majority of the annotators of a document; ties and null categories are left
 out. At most ``MAX_LABELLED`` labelled documents, chosen by the hash of their id, are used for
@@ -38,6 +40,8 @@ from kinweave.session import checkpointed
 MAX_LABELLED = 10_000
 #: Times that each positive unit counts in the last fit; scores are corrected for it.
 POSITIVE_WEIGHT = 3
+#: Below this probability a machine contradicts a single annotator.
+DOUBT = 0.5
 #: Hashed terms, factors per term.
 TERMS, FACTORS = 1 << 14, 6
 #: A document from this score on is one to review.
@@ -129,33 +133,50 @@ def unit_terms(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "label", "text").mapInArrow(read, "doc_id bigint, label double, n int, terms array<string>")
 
 
+def _counted(labels: DataFrame) -> DataFrame:
+    """(doc_id, label, votes) as in ``majority``, with the number of annotators for it."""
+    votes = labels.where("doc_id IS NOT NULL AND category IS NOT NULL").select("doc_id", "annotator", (F.lower(F.trim("category")) != "none").cast("double").alias("vote")).distinct()
+    shares = votes.groupBy("doc_id").agg(F.avg("vote").alias("share"), F.count("vote").alias("n")).where("share <> 0.5")
+    return shares.select("doc_id", (F.col("share") > 0.5).cast("double").alias("label"), F.round(F.col("n") * F.greatest("share", 1 - F.col("share"))).cast("int").alias("votes"))
+
+
 def majority(labels: DataFrame) -> DataFrame:
     """(doc_id, label) of documents whose annotators agree by majority; repeated rows count once."""
-    votes = labels.where("doc_id IS NOT NULL AND category IS NOT NULL").select("doc_id", "annotator", (F.lower(F.trim("category")) != "none").cast("double").alias("vote")).distinct()
-    return votes.groupBy("doc_id").agg(F.avg("vote").alias("share")).where("share <> 0.5").select("doc_id", (F.col("share") > 0.5).cast("double").alias("label"))
+    return _counted(labels).select("doc_id", "label")
 
 
 def _machine(iterations: int) -> FMClassifier:
     return FMClassifier(featuresCol="features", labelCol="label", factorSize=FACTORS, maxIter=iterations, stepSize=0.05, regParam=1e-6, initStd=0.03, tol=1e-5, solver="adamW", seed=11)
 
 
-def _worst_units(rows: DataFrame, iterations: int) -> DataFrame:
-    """``rows`` with the units of positive documents reduced to the worst one of each, as judged
-    by a machine fitted to the rows of the other half of the documents."""
+def _weighted(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows`` with those of positive documents POSITIVE_WEIGHT times."""
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("label") == 1, POSITIVE_WEIGHT).otherwise(1)))
+    return rows.select("*", copies.alias("_copy")).drop("_copy").coalesce(parts)
+
+
+def _worst_units(rows: DataFrame, fitted: DataFrame, iterations: int) -> DataFrame:
+    """(doc_id, n, p) of the worst unit of each positive document, as judged by a machine that is fitted
+    to the rows of ``fitted`` in the other half of the documents."""
     judged = []
     for half in (0, 1):
-        model = _machine(iterations).fit(rows.where(F.col("half") != half).select("label", "features"))
+        model = _machine(iterations).fit(fitted.where(F.col("half") != half).select("label", "features"))
         own = model.transform(rows.where((F.col("half") == half) & (F.col("label") == 1)))
         judged.append(own.select("doc_id", "n", vector_to_array("probability")[1].alias("p")))
-    worst = judged[0].unionByName(judged[1]).groupBy("doc_id").agg(F.max_by("n", F.struct("p", "n")).alias("n"))
-    picked = rows.join(F.broadcast(worst), ["doc_id", "n"], "left_semi")  # bounded by MAX_LABELLED
+    worst = judged[0].unionByName(judged[1]).groupBy("doc_id").agg(F.max(F.struct("p", "n")).alias("w"))
+    return checkpointed(worst.select("doc_id", "w.n", "w.p"))
+
+
+def _picked(rows: DataFrame, worst: DataFrame) -> DataFrame:
+    """``rows`` with the units of positive documents reduced to those of ``worst``."""
+    picked = rows.join(F.broadcast(worst.select("doc_id", "n")), ["doc_id", "n"], "left_semi")  # bounded by MAX_LABELLED
     return rows.where("label = 0").unionByName(picked)
 
 
 def fit(documents: DataFrame, labels: DataFrame, iterations: int = 60) -> FMClassificationModel | None:
     """The machine, or None where the labels do not have both kinds."""
     spark = documents.sparkSession
-    sample = majority(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+    sample = _counted(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     chosen = documents.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")  # bounded by MAX_LABELLED
     parts = min(4, spark.sparkContext.defaultParallelism)
     written = checkpointed(unit_terms(chosen))
@@ -164,9 +185,11 @@ def fit(documents: DataFrame, labels: DataFrame, iterations: int = 60) -> FMClas
     rows = vocabulary.setBinary(True).transform(written.coalesce(parts)).select("doc_id", "n", "label", half, "features")
     if written.groupBy(half).agg(F.count_distinct("label").alias("k")).where("k = 2").count() < 2:  # a half has one kind only
         return _machine(iterations).fit(rows.select("label", "features")) if written.agg(F.count_distinct("label")).first()[0] == 2 else None
-    picked = _worst_units(rows, iterations // 2)
-    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("label") == 1, POSITIVE_WEIGHT).otherwise(1)))
-    return _machine(iterations).fit(picked.select("label", "features", copies.alias("_copy")).drop("_copy").coalesce(parts))
+    first = _picked(rows, _worst_units(rows, rows, iterations // 2))
+    worst = _worst_units(rows, _weighted(first, parts), iterations // 2)
+    trusted = worst.join(F.broadcast(sample.where("votes > 1").select("doc_id", "votes")), "doc_id", "left").where((F.col("p") >= DOUBT) | F.col("votes").isNotNull())
+    last = worst if trusted.isEmpty() else trusted
+    return _machine(iterations).fit(_weighted(_picked(rows, last), parts).select("label", "features"))
 
 
 def machine_table(model: FMClassificationModel) -> tuple[float, np.ndarray]:

@@ -39,6 +39,19 @@ def test_held_out_accuracy_and_rates(spark):
     assert set(rates) == {"x", "y", "(none)"} and sum(r.documents for r in rates.values()) == 363
 
 
+def test_errors_of_single_annotators_are_not_learnt(spark):
+    docs, labels = corpus(spark, 360, 4)
+    benign = ["Fishermen repaired quays", "Orchards bloomed early", "Granite quarries reopened", "Wombats sheltered underground", "Pensioners bought railcards", "Glaciers shrink"]
+    wrong = [(9000 + k, f"{t}.", "x", "e") for k, t in enumerate(benign)]
+    others = [(9100 + k, f"{t} again.", "x", "e") for k, t in enumerate(benign)]
+    more = spark.createDataFrame(wrong + others, docs.schema)
+    errors = spark.createDataFrame([(i, "a1", "abusive", 2) for i, *_ in wrong], labels.schema)
+    scored = toxic.scores(docs.unionByName(more), labels.where("doc_id < 300").unionByName(errors)).collect()
+    rows = {r.doc_id: r.score for r in scored}
+    assert sum(rows[i] >= toxic.REVIEW for i, *_ in others) == 0
+    assert sum((rows[i] >= toxic.REVIEW) == (i % 3 == 0) for i in range(300, 360)) >= 0.95 * 60
+
+
 def test_labels_of_one_kind_or_none(spark):
     docs, labels = corpus(spark, 9, 1)
     for few in (labels.limit(0), labels.where("category = 'none'")):
