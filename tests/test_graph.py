@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinweave.config import FlowConfig
 from kinweave.operators import clusters as cl
-from kinweave.operators import flow, network, products, searches, vectors
+from kinweave.operators import flow, network, products, searches, settling, vectors
 from kinweave.operators import graph as gr
 from kinweave.operators.ranks import quantiles
 from kinweave.plans import graphs
@@ -151,6 +151,30 @@ def test_kernel_and_loop_follow_the_same_rules(spark, more):
     assert found[0] == found[1] and len(found[0]) == 36 and trace[-1]["chaos"] < cfg.chaos
 
 
+def test_large_components_settle_in_a_task(spark):
+    trace = []
+    got = {(r.cluster_id, r.node) for r in flow.flow_clusters(graph(spark, cliques(450, 5, 0.1)), FlowConfig(2.0), trace=trace).collect()}
+    assert got == {(i // 5 * 5, i) for i in range(2250)} and trace == []
+
+
+def test_components_that_outgrow_a_task_take_the_loop(spark, monkeypatch):
+    bounds, ends = np.array([0, 3, 5]), [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2), (3, 3), (3, 4), (4, 4)]
+    u, v = np.array(ends).T
+    w = 1 / np.bincount(u)[u]
+    monkeypatch.setattr(settling, "ENTRIES", 5)
+    assert list(settling.settle_all(bounds, u, v, w, FlowConfig())[3]) == [True, False]
+    settled = flow._small
+
+    def given_up(sized, cfg, kind):
+        monkeypatch.setattr(flow, "_small", settled)
+        return sized.selectExpr("CAST(NULL AS BIGINT) cluster_id", "src node").distinct()
+
+    monkeypatch.setattr(flow, "_small", given_up)
+    trace = []
+    got = {(r.cluster_id, r.node) for r in flow.flow_clusters(graph(spark, cliques(4, 6, 0.1)), FlowConfig(2.0), small=500, trace=trace).collect()}
+    assert got == {(i // 6 * 6, i) for i in range(24)} and trace
+
+
 def test_interpretation_takes_the_smallest_cluster_on_any_way(spark):
     arcs = [(0, 0, 1.0), (5, 5, 1.0), (1, 0, 0.9), (2, 1, 0.5), (2, 5, 0.5), (3, 2, 1.0), (6, 7, 1.0), (7, 6, 1.0)]
     dense = np.zeros((8, 8))
