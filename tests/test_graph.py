@@ -157,6 +157,25 @@ def test_large_components_settle_in_a_task(spark):
     assert got == {(i // 5 * 5, i) for i in range(2250)} and trace == []
 
 
+def counted(spark, arcs):
+    """A graph, and how many of its rows were made so far."""
+    made = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    g = graph(spark, arcs)
+    return g.mapInArrow(make, g.schema), made
+
+
+def test_hierarchy_makes_its_graph_once(spark):
+    g, made = counted(spark, cliques(4, 5, 0.1))
+    rows = flow.hierarchy(g, FlowConfig(2.0), 2).collect()
+    assert {(r.cluster_id, r.node) for r in rows if r.level == 1} == {(i // 5 * 5, i) for i in range(20)} and made.value == len(cliques(4, 5, 0.1))
+
+
 def test_components_that_outgrow_a_task_take_the_loop(spark, monkeypatch):
     bounds, ends = np.array([0, 3, 5]), [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2), (3, 3), (3, 4), (4, 4)]
     u, v = np.array(ends).T
