@@ -176,6 +176,12 @@ def test_hierarchy_makes_its_graph_once(spark):
     assert {(r.cluster_id, r.node) for r in rows if r.level == 1} == {(i // 5 * 5, i) for i in range(20)} and made.value == len(cliques(4, 5, 0.1))
 
 
+def test_arcs_within_clusters_make_their_graph_once(spark):
+    arcs = cliques(4, 5, 0.1)
+    g, made = counted(spark, arcs)
+    assert {(a, b) for a, b, _ in as_set(flow.keep_clusters(g))} == {(a, b) for a, b, _ in arcs if a // 5 == b // 5} and made.value == len(arcs)
+
+
 def test_components_that_outgrow_a_task_take_the_loop(spark, monkeypatch):
     bounds, ends = np.array([0, 3, 5]), [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2), (3, 3), (3, 4), (4, 4)]
     u, v = np.array(ends).T
