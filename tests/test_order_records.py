@@ -59,6 +59,16 @@ def test_arrays_come_back():
     assert [len(x) for x in order_records.unpack(order_records.pack(*[np.zeros(0, np.int64)] * 2))] == [0, 0]
 
 
-def test_inparalogs_do_not_write_all_records(spark, monkeypatch):
+@pytest.mark.parametrize(("query", "rows"), [("inparalogs", 144), ("edge_union", 688)])
+def test_queries_do_not_write_all_records(spark, monkeypatch, query, rows):
     monkeypatch.setattr(relations, "order_hits", lambda *a: pytest.fail("all hits are shuffled"))
-    assert relations.inparalogs(spark, "/root/testdata/sf0.01").count() == 144
+    assert relations.QUERIES[query](spark, "/root/testdata/sf0.01").count() == rows
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_coorthologs_with_and_without_hashes(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(relations.pairs, "FEW", few)
+    d = lines(spark, tmp_path, 3)
+    whole = relations.pairs.relations(relations._sim(spark, d), CFG)["coorthologs"]
+    assert whole.count()
+    same(relations.pairs.relations(order_records.records(spark, d, CFG, True), CFG)["coorthologs"], whole)
