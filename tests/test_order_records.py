@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from kinweave.config import Cutoff, PairConfig
-from kinweave.plans import order_records, relations
+from kinweave.plans import graphs, order_records, relations
 
 CFG = PairConfig(10.0, Cutoff(1.0, -10))
 LINE = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_extendedprice double, l_discount double"
@@ -72,3 +72,11 @@ def test_coorthologs_with_and_without_hashes(spark, tmp_path, monkeypatch, few):
     whole = relations.pairs.relations(relations._sim(spark, d), CFG)["coorthologs"]
     assert whole.count()
     same(relations.pairs.relations(order_records.records(spark, d, CFG, True), CFG)["coorthologs"], whole)
+
+
+def test_gene_groups_are_those_of_all_records_which_are_not_written(spark, monkeypatch):
+    d = "/root/testdata/sf0.01"
+    whole = graphs.pipeline.from_similarities(relations._sim(spark, d), graphs.RunConfig(relations.CFG))["groups"].collect()
+    monkeypatch.setattr(relations, "order_hits", lambda *a: pytest.fail("all hits are shuffled"))
+    found = graphs.gene_groups(spark, d).collect()
+    assert len(found) == 436 and sorted(found) == sorted(whole)
