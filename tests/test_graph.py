@@ -492,3 +492,24 @@ def test_the_expansion_query_shuffles_no_products(spark, monkeypatch):
     monkeypatch.setattr(graphs, "similarity_graph", lambda s, d: graph(s, [(0, 1, 1.0), (1, 2, 3.0), (1, 3, 1.0)]))
     monkeypatch.setattr(gr, "multiply", lambda *_: pytest.fail("multiplied by a join"))
     assert {tuple(r) for r in graphs.QUERIES["expand_once"](spark, "").collect()} == {(0, 2, 0.75), (0, 3, 0.25)}
+
+
+def looked_at(index, search):
+    """How many arcs a search of ``searches.Index`` looks at, and its result."""
+    seen, own = [], index.arcs_of
+    index.arcs_of = lambda *a: seen.append(own(*a)) or seen[-1]
+    found = search()
+    return sum(map(len, seen)), found
+
+
+def test_path_nodes_are_searched_from_both_ends():
+    """0 -> 1 -> 2 -> 3 and 1 -> 4 -> 3; 0 also leads to a hub of 1,000 arcs that is not on the way."""
+    arcs = [(0, 1), (1, 2), (2, 3), (1, 4), (4, 3), (0, 5), *((5, k) for k in range(6, 1006))]
+    u, v = (np.array(x, np.int32) for x in zip(*sorted(arcs, key=lambda a: a[1]), strict=True))
+    index = searches.Index(searches.Ends(1006, u, v))
+    out, back = np.full(1006, -1, np.int32), np.full(1006, -1, np.int32)
+    looked, (nodes, depth) = looked_at(index, lambda: index.between(0, 3, None, out, back))
+    assert sorted(zip(nodes.tolist(), depth.tolist(), strict=True)) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 2)]
+    assert looked < 50 and (out == -1).all() and (back == -1).all()
+    assert not len(index.between(0, 3, 2, out, back)[0]) and not len(index.between(3, 0, None, out, back)[0])
+    assert index.between(1, 1, None, out, back)[0].tolist() == [1]
