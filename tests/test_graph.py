@@ -513,3 +513,14 @@ def test_path_nodes_are_searched_from_both_ends():
     assert looked < 50 and (out == -1).all() and (back == -1).all()
     assert not len(index.between(0, 3, 2, out, back)[0]) and not len(index.between(3, 0, None, out, back)[0])
     assert index.between(1, 1, None, out, back)[0].tolist() == [1]
+
+
+def test_flows_look_at_what_leads_to_the_few_nodes_left():
+    """0 leads to 100 nodes, each of which leads to all of them and one to 101: only the last needs a look."""
+    arcs = [(0, k) for k in range(1, 101)] + [(a, b) for a in range(1, 101) for b in range(1, 101) if a != b] + [(7, 101)]
+    u, v = (np.array(x, np.int32) for x in zip(*sorted(arcs, key=lambda a: a[1]), strict=True))
+    index, total = searches.Index(searches.Ends(102, u, v)), np.zeros(len(arcs))
+    looked, share = looked_at(index, lambda: index.flows(0, None, np.empty(102, np.int32), np.empty(102), total))
+    assert looked < 300
+    assert share[7] == 1 and share[0] == 101 and share[1] == 0
+    assert {(int(a), int(b)): x for a, b, x in zip(index.src, index.dst, total, strict=True) if x} == {(0, k): 2.0 if k == 7 else 1.0 for k in range(1, 101)} | {(7, 101): 1.0}
