@@ -524,3 +524,9 @@ def test_flows_look_at_what_leads_to_the_few_nodes_left():
     assert looked < 300
     assert share[7] == 1 and share[0] == 101 and share[1] == 0
     assert {(int(a), int(b)): x for a, b, x in zip(index.src, index.dst, total, strict=True) if x} == {(0, k): 2.0 if k == 7 else 1.0 for k in range(1, 101)} | {(7, 101): 1.0}
+
+
+def test_flow_clusters_takes_all_arcs_of_the_graph(spark, monkeypatch):
+    star = graph(spark, [(0, k, 1.0 + k) for k in range(1, 13)])
+    monkeypatch.setattr(graphs, "similarity_graph", lambda *_: star)
+    assert {tuple(r) for r in graphs.QUERIES["flow_clusters"](spark, "").select("cluster_id", "node").collect()} == {(0, k) for k in range(13)}
