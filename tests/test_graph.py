@@ -530,3 +530,22 @@ def test_flow_clusters_takes_all_arcs_of_the_graph(spark, monkeypatch):
     star = graph(spark, [(0, k, 1.0 + k) for k in range(1, 13)])
     monkeypatch.setattr(graphs, "similarity_graph", lambda *_: star)
     assert {tuple(r) for r in graphs.QUERIES["flow_clusters"](spark, "").select("cluster_id", "node").collect()} == {(0, k) for k in range(13)}
+
+
+def test_rounds_dealt_out_to_tasks_follow_the_rules_of_the_loop(spark, monkeypatch):
+    cfg = FlowConfig(1.6, prune=30, select=8, recover=10)
+    arcs, found, traces = random_arcs(5, 60, 240), [], ([], [])
+    for few, trace in zip((10**9, 0), traces, strict=True):
+        monkeypatch.setattr(flow, "FEW", few)
+        found.append({(r.cluster_id, r.node) for r in flow.flow_clusters(graph(spark, arcs), cfg, small=0, trace=trace).select("cluster_id", "node").collect()})
+    assert found[0] == found[1] and len(found[0]) == len({x for a, b, _ in arcs for x in (a, b)})
+    assert [t["arcs"] for t in traces[0]] == [t["arcs"] for t in traces[1]]
+
+
+def test_components_of_much_work_are_given_up_to_the_tasks(monkeypatch):
+    bounds, ends = np.array([0, 4]), [(a, b) for a in range(4) for b in range(4)]
+    u, v = np.array(ends).T
+    monkeypatch.setattr(settling, "DENSE", 2)
+    assert not settling.settle_all(bounds, u, v, np.full(16, 0.25), FlowConfig())[3].any()
+    monkeypatch.setattr(settling, "WORK", 63)
+    assert settling.settle_all(bounds, u, v, np.full(16, 0.25), FlowConfig())[3].all()
