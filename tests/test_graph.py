@@ -549,3 +549,10 @@ def test_components_of_much_work_are_given_up_to_the_tasks(monkeypatch):
     assert not settling.settle_all(bounds, u, v, np.full(16, 0.25), FlowConfig())[3].any()
     monkeypatch.setattr(settling, "WORK", 63)
     assert settling.settle_all(bounds, u, v, np.full(16, 0.25), FlowConfig())[3].all()
+
+
+def test_rows_of_a_level_come_node_by_node():
+    """Two starts that reach the same two nodes: each node's rows are together, so that files repeat its name."""
+    v, u = np.repeat(np.arange(2, 4), 2).astype(np.int32), np.array([0, 1, 0, 1], np.int32)
+    levels = list(searches.Index(searches.Ends(4, u, v)).levels(np.array([0, 1]), None))
+    assert [(d, which.tolist(), node.tolist()) for d, which, node in levels] == [(0, [0, 1], [0, 1]), (1, [0, 1, 0, 1], [2, 2, 3, 3])]
